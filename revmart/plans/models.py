@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ from revmart.config import Config
 from revmart.plans import opportunities, products, quotes, registrations, users
 from revmart.plans.checks import all_rules
 from revmart.operators.quality import evaluate
-from revmart.sources.catalog import Inputs, TableStore
+from revmart.sources.catalog import TableStore
 
 Get = Callable[[str], DataFrame]
 
@@ -147,12 +148,13 @@ def build_models(
     they need) replaces its table, and later models read that table back.  Without one all
     results stay lazy.  Views are registered under their names when a store is given.
     """
-    frames = Inputs(inputs)
     built: dict[str, DataFrame] = {}
 
     def get(name: str) -> DataFrame:
         if name not in MODELS:
-            return frames[name]
+            if name not in inputs:
+                raise KeyError(f"input '{name}' is missing; given: {sorted(inputs)}")
+            return inputs[name]
         if name not in built:
             model = MODELS[name]
             df = model.build(get, cfg)
@@ -170,4 +172,4 @@ def check_models(
     inputs: Mapping[str, DataFrame], models: Mapping[str, DataFrame], cfg: Config = Config(), rules=None
 ) -> DataFrame:
     """Report on the declared checks over built models and their inputs."""
-    return evaluate({**inputs, **models}, all_rules(cfg) if rules is None else rules)
+    return evaluate(ChainMap(dict(models), inputs), all_rules(cfg) if rules is None else rules)

@@ -32,15 +32,19 @@ def parse_fields(text: str, default_source: Callable[[str, str], str] | None = N
     return fields
 
 
+def _renamed(name: str, source: str) -> Column | str:
+    return name if name == source else F.col(source).alias(name)
+
+
 def conform(df: DataFrame, fields: Iterable[Field], lenient_times: bool = False) -> DataFrame:
     """Project raw columns to their published names, conforming values by field kind."""
-    by_kind = {
-        "keep": lambda c: c,
-        "flag": truthy,
-        "time": lambda c: timestamp_of(c, lenient_times),
-        "text": F.trim,
-    }
-    return df.select(*[by_kind[f.kind](F.col(f.source)).alias(f.name) for f in fields])
+    by_kind = {"flag": truthy, "time": lambda c: timestamp_of(c, lenient_times), "text": F.trim}
+    return df.select(
+        *[
+            by_kind[f.kind](F.col(f.source)).alias(f.name) if f.kind in by_kind else _renamed(f.name, f.source)
+            for f in fields
+        ]
+    )
 
 
 def unparsed_times(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
@@ -59,5 +63,5 @@ def unparsed_times(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
 def project(df: DataFrame, fields: Iterable[Field], computed: Mapping[str, Column]) -> DataFrame:
     """Select the published columns in order; ``computed`` supplies those that are not renames."""
     return df.select(
-        *[computed[f.name].alias(f.name) if f.name in computed else F.col(f.source).alias(f.name) for f in fields]
+        *[computed[f.name].alias(f.name) if f.name in computed else _renamed(f.name, f.source) for f in fields]
     )

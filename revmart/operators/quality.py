@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NOT_NULL = "not_null"
@@ -54,43 +54,31 @@ class Rule:
         return f"{self.kind}({subject})"
 
 
-def _report_row(number: int, rule: Rule, failures: Column) -> Column:
-    def text(value: str | None) -> Column:
-        return F.lit(value).cast("string")
-
-    failures = F.coalesce(failures, F.lit(0)).cast("bigint")
-    status = F.when(failures == 0, "pass").otherwise(rule.severity)
-    return F.struct(
-        F.lit(number).alias("check_id"),
-        text(rule.model).alias("model_name"),
-        text(rule.label).alias("rule_name"),
-        text(rule.kind).alias("kind"),
-        text(rule.severity).alias("severity"),
-        text(rule.dimension).alias("dimension"),
-        text(rule.cadence).alias("cadence"),
-        failures.alias("failures"),
-        status.alias("status"),
-    )
+_META = "check_id int, model_name string, rule_name string, kind string, severity string, dimension string, cadence string"
 
 
-def _unfold(counts: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
-    """Turn one row holding a failure count per rule into report rows."""
-    return counts.select(F.inline(F.array(*[_report_row(n, r, F.col(f"c{n}")) for n, r in rules])))
+def _unfold(counts: DataFrame, numbers: Sequence[int]) -> DataFrame:
+    """Turn one row holding a failure count ``c<number>`` per rule into rows."""
+    pairs = ", ".join(f"{n}, CAST(coalesce(c{n}, 0) AS BIGINT)" for n in numbers)
+    return counts.selectExpr(f"stack({len(numbers)}, {pairs}) AS (check_id, failures)")
 
 
-def _violation(rule: Rule) -> Column:
+def _violation(rule: Rule) -> str:
+    """Row predicate that is TRUE exactly where the rule fails."""
     if rule.kind == NOT_NULL:
-        bad = F.col(rule.columns[0]).isNull()
+        bad = f"{rule.columns[0]} IS NULL"
     elif rule.kind == ACCEPTED_VALUES:
-        bad = ~F.col(rule.columns[0]).cast("string").isin(*rule.values)
+        allowed = ", ".join(f"'{v}'" for v in rule.values)
+        bad = f"CAST({rule.columns[0]} AS STRING) NOT IN ({allowed})"
     else:
-        bad = ~F.expr(rule.expression)
-    return bad if rule.where is None else bad & F.expr(rule.where)
+        bad = f"NOT ({rule.expression})"
+    return bad if rule.where is None else f"({bad}) AND ({rule.where})"
 
 
 def check_rows(df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
     """Failing rows per row rule, all rules in one aggregate pass."""
-    return _unfold(df.agg(*[F.count_if(_violation(r)).alias(f"c{n}") for n, r in rules]), rules)
+    counts = df.agg(*[F.expr(f"count_if({_violation(r)})").alias(f"c{n}") for n, r in rules])
+    return _unfold(counts, [n for n, _ in rules])
 
 
 def check_unique(df: DataFrame, number: int, rule: Rule) -> DataFrame:
@@ -100,7 +88,7 @@ def check_unique(df: DataFrame, number: int, rule: Rule) -> DataFrame:
     if rule.kind == UNIQUE:
         df = df.where(F.col(rule.columns[0]).isNotNull())
     counts = df.groupBy(*rule.columns).agg(F.count("*").alias("n"))
-    return _unfold(counts.agg(F.count_if(F.col("n") > 1).alias(f"c{number}")), [(number, rule)])
+    return _unfold(counts.agg(F.count_if(F.col("n") > 1).alias(f"c{number}")), [number])
 
 
 def check_references(df: DataFrame, models: Mapping[str, DataFrame], rules: Sequence[tuple[int, Rule]]) -> DataFrame:
@@ -134,7 +122,7 @@ def check_references(df: DataFrame, models: Mapping[str, DataFrame], rules: Sequ
         ],
     )
     orphans = counted.join(known, ["parent", "key"], "left_anti")
-    return _unfold(orphans.agg(*[F.sum(f"c{n}").alias(f"c{n}") for n, _ in rules]), rules)
+    return _unfold(orphans.agg(*[F.sum(f"c{n}").alias(f"c{n}") for n, _ in rules]), [n for n, _ in rules])
 
 
 def check_row_count(models: Mapping[str, DataFrame], number: int, rule: Rule) -> DataFrame:
@@ -142,7 +130,7 @@ def check_row_count(models: Mapping[str, DataFrame], number: int, rule: Rule) ->
     signed = [(rule.model, 1)] + [(part, -1) for part in rule.parts]
     counts = [models[name].agg((F.count("*") * sign).alias("n")) for name, sign in signed]
     total = reduce(DataFrame.unionAll, counts).agg(F.sum("n").alias("n"))
-    return _unfold(total.select((F.col("n") != 0).cast("bigint").alias(f"c{number}")), [(number, rule)])
+    return _unfold(total.select((F.col("n") != 0).cast("bigint").alias(f"c{number}")), [number])
 
 
 def evaluate(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
@@ -170,7 +158,13 @@ def evaluate(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFram
             reports.append(check_references(df, models, references))
         reports += [check_unique(df, n, r) for n, r in of_model if r.kind in _UNIQUE_KINDS]
         reports += [check_row_count(models, n, r) for n, r in of_model if r.kind == ROW_COUNT]
-    return reduce(DataFrame.unionAll, reports)
+    failures = reduce(DataFrame.unionAll, reports)
+    described = failures.sparkSession.createDataFrame(
+        [(n, r.model, r.label, r.kind, r.severity, r.dimension, r.cadence) for n, r in numbered], _META
+    )
+    # One row per rule on both sides.
+    report = F.broadcast(described).join(failures, "check_id")
+    return report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity")))
 
 
 def scorecard(report: DataFrame) -> DataFrame:

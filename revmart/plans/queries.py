@@ -27,6 +27,7 @@ from revmart.operators.versions import current, live
 from revmart.plans import contracts, opportunities, products, quotes, registrations, users
 from revmart.plans.checks import all_rules
 from revmart.plans.models import MODELS, build_models, check_models
+from revmart.session import tune
 from revmart.sources.derived import DerivedInputs
 
 # A fixed load time makes results repeatable; quote numbers tell equally old versions apart.
@@ -53,7 +54,7 @@ class Frames:
     """Raw inputs and models over one test data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.inputs = DerivedInputs(spark, sf_dir, CFG)
+        self.inputs = DerivedInputs(tune(spark), sf_dir, CFG)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in MODELS:

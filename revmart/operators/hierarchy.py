@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revmart.operators.lookups import (
-    ROWS_PER_SLICE,
     Lookup,
     enrich,
     exists_flag,
@@ -32,7 +31,7 @@ def _direct_chain(users: DataFrame, levels: int) -> DataFrame:
     return out.drop(*[f"_next_{level}" for level in range(1, levels + 1)])
 
 
-def _doubled_chain(users: DataFrame, levels: int, rows_per_slice: int) -> DataFrame:
+def _doubled_chain(users: DataFrame, levels: int, rows_per_slice: int | None) -> DataFrame:
     """Paths over managers only, doubled until long enough, then fetched once per user.
 
     A path starts at a manager and runs upwards.  Joining paths to paths by the last
@@ -63,13 +62,13 @@ def _doubled_chain(users: DataFrame, levels: int, rows_per_slice: int) -> DataFr
     return out.select(*users.columns, *above)
 
 
-def with_manager_flag(users: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def with_manager_flag(users: DataFrame, rows_per_slice: int | None = None) -> DataFrame:
     """Add ``is_manager_flag``: whether some user reports to this one."""
     managers = users.select(F.col("manager_id").alias("_manager"))
     return exists_flag(users, managers, "user_id", "_manager", "is_manager_flag", "user_id", rows_per_slice)
 
 
-def manager_chain(users: DataFrame, levels: int = 7, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def manager_chain(users: DataFrame, levels: int = 7, rows_per_slice: int | None = None) -> DataFrame:
     """Add ``manager_level_<k>_{user_id,name,title}`` for every level.
 
     ``users`` needs ``user_id, manager_id, user_name, title, is_manager_flag`` with unique

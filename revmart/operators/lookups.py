@@ -57,20 +57,22 @@ def fits_broadcast(side: DataFrame, sized_by: Sequence[DataFrame] = ()) -> bool:
     return sum(estimated_bytes(f) for f in (sized_by or [side])) <= broadcast_limit(side)
 
 
-def frequent_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def frequent_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int | None = None) -> DataFrame:
     """Keys too frequent for one task: ``(column_name, key, slices)``.
 
     One narrow pass counts all key columns together with map-side partial sums.  At most
-    ``rows * len(keys) / rows_per_slice`` keys qualify, which bounds the result.
+    ``rows * len(keys) / rows_per_slice`` keys qualify, which bounds the result: a trillion
+    rows have at most a million such keys per column.
     """
+    most = rows_per_slice or ROWS_PER_SLICE
     pairs = F.array(*[F.struct(F.lit(k).alias("column_name"), F.col(k).cast("string").alias("key")) for k in keys])
     return (
         df.select(F.inline(pairs))
         .where(F.col("key").isNotNull())
         .groupBy("column_name", "key")
         .agg(F.count("*").alias("n"))
-        .where(F.col("n") > rows_per_slice)
-        .select("column_name", "key", F.ceil(F.col("n") / rows_per_slice).cast("int").alias("slices"))
+        .where(F.col("n") > most)
+        .select("column_name", "key", F.ceil(F.col("n") / most).cast("int").alias("slices"))
     )
 
 
@@ -106,7 +108,7 @@ def enrich(
     lookups: Sequence[Lookup],
     row_key: str,
     counted_on: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Apply lookups one after another; the row count never changes for unique lookup keys.
 
@@ -133,7 +135,7 @@ def enrich(
 
 
 def exists_flag(
-    df: DataFrame, keys: DataFrame, fk: str, key: str, flag: str, row_key: str, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, keys: DataFrame, fk: str, key: str, flag: str, row_key: str, rows_per_slice: int | None = None
 ) -> DataFrame:
     """Add ``flag``: whether ``fk`` occurs among the non-NULL values of ``keys.key``."""
     present = keys.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_present", F.lit(True))

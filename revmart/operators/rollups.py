@@ -44,8 +44,12 @@ def line_rollup(lines: DataFrame) -> DataFrame:
 
 
 def bridged_max(left: DataFrame, left_key: str, bridge: DataFrame, bridge_key: str, by: str, value: str) -> DataFrame:
-    """Largest ``left.value`` per ``bridge.by`` over the inner join of the two on their keys."""
+    """Largest ``left.value`` per ``bridge.by`` over the inner join of the two on their keys.
+
+    Repeated pairs do not change a maximum, so the bridge is reduced to distinct pairs
+    first; the group key then tells the rows of one bridge key apart.
+    """
     matched = left.select(left_key, value, F.lit(True).alias("_matched"))
     step = Lookup(matched, bridge_key, left_key, {value: value, "_matched": "_matched"})
-    pairs = enrich(bridge.select(bridge_key, by), [step], row_key=by).where("_matched")
+    pairs = enrich(bridge.select(bridge_key, by).distinct(), [step], row_key=by).where("_matched")
     return pairs.groupBy(by).agg(F.max(value).alias(value))

@@ -76,6 +76,24 @@ def frequent_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int | None
     )
 
 
+def _hot(frequent: DataFrame) -> DataFrame:
+    return F.broadcast(frequent.select(F.col("key").alias("_hot_key"), F.col("slices").alias("_slices")))
+
+
+def slice_rows(df: DataFrame, fk: str, row_key: str, frequent: DataFrame) -> DataFrame:
+    """Add ``_slice``: 0 for ordinary keys, a hash of the row key for NULL and frequent ones."""
+    slices = F.when(F.col(fk).isNull(), NULL_SLICES).otherwise(F.coalesce(F.col("_slices"), F.lit(1)))
+    placed = df.join(_hot(frequent), F.col(fk).cast("string") == F.col("_hot_key"), "left")
+    return placed.withColumn("_slice", F.pmod(F.xxhash64(row_key), slices).cast("int")).drop("_hot_key", "_slices")
+
+
+def repeat_side(side: DataFrame, key: str, frequent: DataFrame) -> DataFrame:
+    """Repeat the lookup rows of frequent keys once per slice, numbered by ``_side_slice``."""
+    matched = side.join(_hot(frequent), F.col(key).cast("string") == F.col("_hot_key"), "left")
+    numbers = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
+    return matched.withColumn("_side_slice", F.explode(numbers)).drop("_hot_key", "_slices")
+
+
 def spread_left_join(
     df: DataFrame, side: DataFrame, fk: str, side_key: str, row_key: str, frequent: DataFrame
 ) -> DataFrame:
@@ -84,21 +102,10 @@ def spread_left_join(
     ``frequent`` holds ``(key, slices)`` and is small by construction (see
     ``frequent_keys``).  It steers only the placement of rows, never the result.
     """
-    hot = F.broadcast(frequent.select(F.col("key").alias("_hot_key"), F.col("slices").alias("_slices")))
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
-    placed = df.join(hot, F.col(fk).cast("string") == F.col("_hot_key"), "left").withColumn(
-        "_slice",
-        F.when(F.col(fk).isNull(), F.pmod(F.xxhash64(row_key), F.lit(NULL_SLICES)))
-        .otherwise(F.pmod(F.xxhash64(row_key), slices))
-        .cast("int"),
-    )
-    repeated = (
-        side.join(hot, F.col(side_key).cast("string") == F.col("_hot_key"), "left")
-        .withColumn("_side_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-        .drop("_hot_key", "_slices")
-    )
-    matched = placed.drop("_hot_key", "_slices").join(
-        repeated, (F.col(fk) == F.col(side_key)) & (F.col("_slice") == F.col("_side_slice")), "left"
+    matched = slice_rows(df, fk, row_key, frequent).join(
+        repeat_side(side, side_key, frequent),
+        (F.col(fk) == F.col(side_key)) & (F.col("_slice") == F.col("_side_slice")),
+        "left",
     )
     return matched.drop("_slice", "_side_slice", side_key)
 
@@ -127,11 +134,11 @@ def enrich(
     out = df
     for step, key, side, small in narrowed:
         if small:
-            out = out.join(F.broadcast(side), F.col(step.fk) == F.col(key), "left").drop(key)
+            out = out.join(F.broadcast(side), F.col(step.fk) == F.col(key), "left")
         else:
             hot = frequent.where(F.col("column_name") == step.fk)
             out = spread_left_join(out, side, step.fk, key, row_key, hot)
-    return out
+    return out.drop(*[key for _, key, _, small in narrowed if small])
 
 
 def exists_flag(

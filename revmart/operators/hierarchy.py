@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revmart.operators.lineage import cut_lineage
 from revmart.operators.lookups import (
     Lookup,
     enrich,
@@ -31,35 +32,39 @@ def _direct_chain(users: DataFrame, levels: int) -> DataFrame:
     return out.drop(*[f"_next_{level}" for level in range(1, levels + 1)])
 
 
+def _attach(df: DataFrame, paths: DataFrame, fk: str, alias: str, rows_per_slice: int | None) -> DataFrame:
+    """Fetch the path starting at ``fk`` for every row of ``df``."""
+    side = paths.select(F.col("user_id").alias("_path_start"), F.col("path").alias(alias))
+    hot = cut_lineage(frequent_keys(df, [fk], rows_per_slice))
+    return spread_left_join(df, side, fk, "_path_start", "user_id", hot)
+
+
 def _doubled_chain(users: DataFrame, levels: int, rows_per_slice: int | None) -> DataFrame:
     """Paths over managers only, doubled until long enough, then fetched once per user.
 
     A path starts at a manager and runs upwards.  Joining paths to paths by the last
     element's manager doubles their length, so seven levels take three joins over the
-    managers and one over the users.
+    managers and one over the users.  Every round continues from a checkpoint: a path feeds
+    both sides of the next join, and without the cut the plan would double as well.
     """
     person = F.struct("user_id", F.col("user_name").alias("name"), "title", "manager_id")
-    paths = users.where("is_manager_flag").select("user_id", F.array(person).alias("path"))
+    paths = cut_lineage(users.where("is_manager_flag").select("user_id", F.array(person).alias("path")))
+    nothing = F.array().cast(paths.schema["path"].dataType)
     length = 1
     while length < levels:
-        lower = paths.withColumn("next_id", F.get(F.col("path"), F.size("path") - 1)["manager_id"])
-        upper = paths.select(F.col("user_id").alias("_upper_id"), F.col("path").alias("_upper"))
-        joined = spread_left_join(
-            lower, upper, "next_id", "_upper_id", "user_id", frequent_keys(lower, ["next_id"], rows_per_slice)
+        ends = paths.withColumn("next_id", F.get(F.col("path"), F.size("path") - 1)["manager_id"])
+        joined = _attach(ends, paths, "next_id", "_upper", rows_per_slice)
+        paths = cut_lineage(
+            joined.select("user_id", F.concat("path", F.coalesce(F.col("_upper"), nothing)).alias("path"))
         )
-        joined_path = F.concat(F.col("path"), F.coalesce(F.col("_upper"), F.array().cast(paths.schema["path"].dataType)))
-        paths = joined.select("user_id", joined_path.alias("path"))
         length *= 2
 
-    attach = paths.select(F.col("user_id").alias("_path_id"), F.col("path").alias("_path"))
-    hot = frequent_keys(users, ["manager_id"], rows_per_slice)
-    out = spread_left_join(users, attach, "manager_id", "_path_id", "user_id", hot)
     above = [
         F.get(F.col("_path"), F.lit(level - 1))[attr].alias(level_column(level, attr))
         for level in range(1, levels + 1)
         for attr in MANAGER_ATTRS.values()
     ]
-    return out.select(*users.columns, *above)
+    return _attach(users, paths, "manager_id", "_path", rows_per_slice).select(*users.columns, *above)
 
 
 def with_manager_flag(users: DataFrame, rows_per_slice: int | None = None) -> DataFrame:

@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revmart.operators.lineage import cut_lineage
+
 # Rows of one key that a single task may handle before the key is sliced.
 ROWS_PER_SLICE = 1_000_000
 # Slices over which rows without a key are spread.
@@ -120,7 +122,8 @@ def enrich(
     """Apply lookups one after another; the row count never changes for unique lookup keys.
 
     ``row_key`` identifies a row of ``df`` and decides its slice.  ``counted_on`` is a cheaper
-    upstream frame on which to count key frequencies (default: ``df`` itself).
+    upstream frame on which to count key frequencies (default: ``df`` itself).  The count
+    runs at once, one pass for all lookups that need it; lookups that are broadcast need none.
     """
     narrowed = []
     for i, step in enumerate(lookups):
@@ -129,7 +132,10 @@ def enrich(
         narrowed.append((step, key, side, fits_broadcast(side, step.sized_by)))
 
     shuffled = sorted({step.fk for step, _, _, small in narrowed if not small})
-    frequent = frequent_keys(counted_on if counted_on is not None else df, shuffled, rows_per_slice) if shuffled else None
+    frequent = None
+    if shuffled:
+        counted = counted_on if counted_on is not None else df
+        frequent = cut_lineage(frequent_keys(counted, shuffled, rows_per_slice))
 
     out = df
     for step, key, side, small in narrowed:

@@ -147,14 +147,18 @@ def enrich(
     return out.drop(*[key for _, key, _, small in narrowed if small])
 
 
+def presence(keys: DataFrame, key: str, fk: str, alias: str) -> Lookup:
+    """A lookup giving TRUE where ``fk`` occurs among the values of ``keys.key``, else NULL."""
+    present = keys.where(F.col(key).isNotNull()).select(key).distinct().withColumn(alias, F.lit(True))
+    return Lookup(present, fk, key, {alias: alias})
+
+
 def exists_flag(
     df: DataFrame, keys: DataFrame, fk: str, key: str, flag: str, row_key: str, rows_per_slice: int | None = None
 ) -> DataFrame:
     """Add ``flag``: whether ``fk`` occurs among the non-NULL values of ``keys.key``."""
-    present = keys.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_present", F.lit(True))
-    step = Lookup(present, fk, key, {"_present": "_present"})
-    out = enrich(df, [step], row_key, rows_per_slice=rows_per_slice)
-    return out.withColumn(flag, F.coalesce(F.col("_present"), F.lit(False))).drop("_present")
+    out = enrich(df, [presence(keys, key, fk, flag)], row_key, rows_per_slice=rows_per_slice)
+    return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:

@@ -7,6 +7,7 @@ key.  The report has one row per rule.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -117,7 +118,9 @@ def check_references(df: DataFrame, models: Mapping[str, DataFrame], rules: Sequ
     known = reduce(
         DataFrame.unionAll,
         [
-            models[model].select(F.lit(name).alias("parent"), F.col(column).cast("string").alias("key"))
+            models[model]
+            .where(F.col(column).isNotNull())
+            .select(F.lit(name).alias("parent"), F.col(column).cast("string").alias("key"))
             for (model, column), name in parents.items()
         ],
     )
@@ -133,11 +136,22 @@ def check_row_count(models: Mapping[str, DataFrame], number: int, rule: Rule) ->
     return _unfold(total.select((F.col("n") != 0).cast("bigint").alias(f"c{number}")), [number])
 
 
+def columns_read(model: str, columns: Sequence[str], rules: Iterable[Rule]) -> list[str]:
+    """Those of a model's columns that the rules read, on it or on it as a parent."""
+    names: set[str] = set()
+    for rule in rules:
+        if rule.model == model:
+            names |= {*rule.columns, *re.findall(r"\w+", f"{rule.expression} {rule.where}")}
+        if rule.parent and rule.parent[0] == model:
+            names.add(rule.parent[1])
+    return [c for c in columns if c in names] or list(columns[:1])
+
+
 def evaluate(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
     """Evaluate rules against the models they name; one report row per rule.
 
-    Pass written tables when the models are expensive: every model is read once for its
-    row rules, once for its references and once per unique key.
+    Every model is read once for its row rules, once for its references and once per unique
+    key, so pass written tables or checkpoints when the models are expensive.
     """
     numbered = sorted(enumerate(rules, start=1), key=lambda nr: nr[1].model)
     missing = {r.model for _, r in numbered} | {r.parent[0] for _, r in numbered if r.parent}

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections import ChainMap
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from revmart.config import Config
+from revmart.operators.lineage import cut_lineage
+from revmart.operators.quality import Rule, columns_read, evaluate
 from revmart.plans import opportunities, products, quotes, registrations, users
 from revmart.plans.checks import all_rules
-from revmart.operators.quality import evaluate
 from revmart.sources.catalog import TableStore
 
 Get = Callable[[str], DataFrame]
@@ -169,7 +170,18 @@ def build_models(
 
 
 def check_models(
-    inputs: Mapping[str, DataFrame], models: Mapping[str, DataFrame], cfg: Config = Config(), rules=None
+    inputs: Mapping[str, DataFrame],
+    models: Mapping[str, DataFrame],
+    cfg: Config = Config(),
+    rules: Sequence[Rule] | None = None,
+    compute_once: bool = False,
 ) -> DataFrame:
-    """Report on the declared checks over built models and their inputs."""
-    return evaluate(ChainMap(dict(models), inputs), all_rules(cfg) if rules is None else rules)
+    """Report on the declared checks over built models and their inputs.
+
+    ``compute_once`` is for models that are not stored: the columns the rules read are
+    computed at once and checked from a checkpoint, instead of anew for every pass.
+    """
+    rules = all_rules(cfg) if rules is None else rules
+    if compute_once:
+        models = {n: cut_lineage(df.select(*columns_read(n, df.columns, rules))) for n, df in models.items()}
+    return evaluate(ChainMap(dict(models), inputs), rules)

@@ -348,7 +348,7 @@ def checks_of(*kinds: str) -> Callable[[Frames], DataFrame]:
 def _report(f: Frames, kinds: Sequence[str] | None = None) -> DataFrame:
     rules = [r for r in all_rules(CFG) if kinds is None or r.kind in kinds]
     names = {r.model for r in rules} | {r.parent[0] for r in rules if r.parent} | {p for r in rules for p in r.parts}
-    return check_models(f.inputs, build_models(f.inputs, CFG, only=names & set(MODELS)), CFG, rules)
+    return check_models(f.inputs, build_models(f.inputs, CFG, only=names & set(MODELS)), CFG, rules, compute_once=True)
 
 
 def dq_scorecard(f: Frames) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from revmart.config import Config
 from revmart.functions.columns import fallback_key, is_true, proper_case
 from revmart.operators.conform import conform, project
-from revmart.operators.lookups import Lookup, enrich, exists_flag
+from revmart.operators.lookups import Lookup, enrich, presence
 from revmart.operators.unions import union_sources
 from revmart.operators.versions import first_per_key, live
 from revmart.plans import contracts
@@ -24,24 +24,23 @@ def conform_portal(raw: DataFrame, cfg: Config) -> DataFrame:
     return conform(raw, contracts.portal_staging(cfg), cfg.lenient_times)
 
 
-def flag_migrated(portal: DataFrame, stg_legacy: DataFrame) -> DataFrame:
-    """Mark portal rows whose opportunity has a live legacy registration, and the inverse."""
-    flagged = exists_flag(
-        portal,
-        live(stg_legacy).select(F.col("opportunity_id").alias("_legacy_opportunity_id")),
-        fk="opportunity_id",
-        key="_legacy_opportunity_id",
-        flag="migrated_to_vartopia",
-        row_key="vartopia_registration_id",
-    )
-    return flagged.withColumn("is_native_vartopia_registration", ~F.col("migrated_to_vartopia"))
+def legacy_presence(stg_legacy: DataFrame) -> Lookup:
+    """Whether a portal row's opportunity has a live legacy registration."""
+    return presence(live(stg_legacy), "opportunity_id", "opportunity_id", "migrated_to_vartopia")
+
+
+def migration_flags() -> dict[str, Column]:
+    """Migrated or native, one the inverse of the other, never NULL."""
+    migrated = is_true("migrated_to_vartopia")
+    return {"migrated_to_vartopia": migrated, "is_native_vartopia_registration": ~migrated}
 
 
 def build_stg_portal(raw: DataFrame, stg_legacy: DataFrame, cfg: Config) -> DataFrame:
-    flagged = flag_migrated(conform_portal(raw, cfg), stg_legacy)
+    flagged = enrich(conform_portal(raw, cfg), [legacy_presence(stg_legacy)], row_key="vartopia_registration_id")
     names = [f.name for f in contracts.portal_staging(cfg)]
     at = names.index("is_deleted")
-    return flagged.select(*names[:at], "migrated_to_vartopia", "is_native_vartopia_registration", *names[at:])
+    flags = [flag.alias(name) for name, flag in migration_flags().items()]
+    return flagged.select(*names[:at], *flags, *names[at:])
 
 
 def build_dim_legacy(
@@ -112,8 +111,9 @@ def build_dim_portal(
     portal = conform_portal(raw, cfg)
     account_names = accounts(account)
     named = enrich(
-        flag_migrated(dedupe_portal(portal), stg_legacy),
+        dedupe_portal(portal),
         [
+            legacy_presence(stg_legacy),
             Lookup(account_names, "partner_account_id", "account_id", {"account_name": "partner_account_name"}),
             Lookup(account_names, "distributor_account_id", "account_id", {"account_name": "distributor_account_name"}),
             Lookup(users, "opportunity_owner_id", "user_id", {"user_name": "opportunity_owner_name"}),
@@ -122,7 +122,7 @@ def build_dim_portal(
         counted_on=live(portal),
     )
     fields = contracts.published(contracts.PORTAL_REGISTRATION, cfg)
-    return project(named, fields, {"edp_updated_at": cfg.load_time()})
+    return project(named, fields, migration_flags() | {"edp_updated_at": cfg.load_time()})
 
 
 def build_dim_unified(dim_legacy: DataFrame, dim_portal: DataFrame, cfg: Config) -> DataFrame:

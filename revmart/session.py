@@ -18,7 +18,8 @@ RUNTIME_SETTINGS = {
 START_SETTINGS = {
     "spark.ui.enabled": "false",
     # Lookup sides up to this estimated size are broadcast; larger ones are shuffled.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # No Python call sites per column expression: the marts build thousands of them.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from revmart.operators import lookups
+from revmart.operators.lineage import cut_lineage
 from revmart.operators.quality import enforce
 from revmart.plans.checks import all_rules, select_rules
 from revmart.plans.models import build_models, check_models
 from revmart.plans.queries import CFG, Frames
+from revmart.plans.reference import accounts, record_types
 from revmart.sources.catalog import TableStore, read_inputs
 
 
@@ -123,3 +125,33 @@ def test_monthly_checks_only_warn(frames):
     report = check_models(frames.inputs, models, CFG, select_rules(all_rules(CFG), cadence="dq_monthly"))
     enforce(report)
     assert report.where(F.col("status") == "warn").count() > 0
+
+
+def test_retired_record_types_are_optional(spark):
+    quote_types = {}
+    for live_only in (True, False):
+        types = record_types(
+            spark.createDataFrame(
+                [("t1", "Live", True, None), ("t2", "Old", False, False), ("t3", "Deleted", True, True)],
+                "recordtype_id string, record_type_name string, is_current boolean, is_deleted boolean",
+            ),
+            live_only,
+        )
+        quote_types[live_only] = sorted(r.record_type_id for r in types.collect())
+    assert quote_types == {True: ["t1"], False: ["t1", "t2", "t3"]}
+
+
+def test_accounts_keep_current_versions_where_versions_exist(spark):
+    plain = spark.createDataFrame([("a", "A")], "account_id string, account_name string")
+    versions = spark.createDataFrame(
+        [("a", "Old", False), ("a", "New", True)], "account_id string, account_name string, is_current boolean"
+    )
+    assert [r.account_name for r in accounts(plain).collect()] == ["A"]
+    assert [r.account_name for r in accounts(versions).collect()] == ["New"]
+
+
+def test_lineage_is_cut_by_a_checkpoint(spark):
+    """Local runs without a configured folder fall back to one of their own."""
+    df = cut_lineage(spark.range(5).withColumn("x", F.col("id") * 2))
+    assert spark.sparkContext.getCheckpointDir() is not None
+    assert sorted(r.x for r in df.collect()) == [0, 2, 4, 6, 8]

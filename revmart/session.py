@@ -11,9 +11,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The marts project a hundred columns at once.  Generated methods above 8000 bytes are
-    # never compiled by the JVM, so such stages must fall back to split-up methods.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 START_SETTINGS = {
     "spark.ui.enabled": "false",

@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revmart.llm.bpe import round_trip_digests
 from revmart.llm.common import read_table
 from revmart.llm.mixing import MIX_SQL, mix_sources
 from revmart.llm.sharding import shard_rows
+from revmart.llm.simhash import hex_digits, near_duplicates
+
+#: The BPE file the queries use; operators take a path.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +27,11 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_rows(read_table(spark, sf_dir, "documents"), shards=8)
     return placed.select(
@@ -31,7 +46,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op7_source_mix": op7_source_mix,
+    "op8_simhash": op8_simhash,
     "op10_sharding": op10_sharding,
 }
 

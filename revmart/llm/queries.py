@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from revmart.llm.bpe import round_trip_digests
 from revmart.llm.common import read_table
+from revmart.llm.embeddings import near_vectors
 from revmart.llm.mixing import MIX_SQL, mix_sources
+from revmart.llm.repeats import remove_repeats
 from revmart.llm.sharding import shard_rows
 from revmart.llm.simhash import hex_digits, near_duplicates
 
@@ -22,6 +24,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(read_table(spark, sf_dir, "documents"), window=50)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,6 +39,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_rows(read_table(spark, sf_dir, "documents"), shards=8)
     return placed.select(
@@ -47,8 +58,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op4_repeats": op4_repeats,
     "op7_source_mix": op7_source_mix,
     "op8_simhash": op8_simhash,
+    "op9_embeddings": op9_embeddings,
     "op10_sharding": op10_sharding,
 }
 

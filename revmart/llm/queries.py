@@ -15,6 +15,7 @@ from revmart.llm.mixing import MIX_SQL, mix_sources
 from revmart.llm.repeats import remove_repeats
 from revmart.llm.sharding import shard_rows
 from revmart.llm.simhash import hex_digits, near_duplicates
+from revmart.llm.toxicity import fit, is_held_out, score
 
 #: The BPE file the queries use; operators take a path.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +30,13 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, fit(docs, read_table(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("toxicity") >= 0.5, 1).otherwise(0)
+    return scored.select("doc_id", is_held_out().alias("held_out"), F.col("toxicity").alias("score"), predicted.alias("predicted"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -59,6 +67,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op4_repeats": op4_repeats,
+    "op6_toxicity": op6_toxicity,
     "op7_source_mix": op7_source_mix,
     "op8_simhash": op8_simhash,
     "op9_embeddings": op9_embeddings,

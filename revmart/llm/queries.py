@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from revmart.llm.bpe import round_trip_digests
 from revmart.llm.common import read_table
 from revmart.llm.embeddings import near_vectors
+from revmart.llm.maxent import score_documents
 from revmart.llm.mixing import MIX_SQL, mix_sources
 from revmart.llm.repeats import remove_repeats
 from revmart.llm.sharding import shard_rows
@@ -25,6 +26,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op3_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read_table(spark, sf_dir, "documents"), is_held_out(folds=7, fold=2))
+
+
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(read_table(spark, sf_dir, "documents"), window=50)
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -66,6 +71,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op3_maxent": op3_maxent,
     "op4_repeats": op4_repeats,
     "op6_toxicity": op6_toxicity,
     "op7_source_mix": op7_source_mix,

@@ -52,14 +52,22 @@ def range_codes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return mixed((total[ends] - total[starts]) * powers(base, n + 1, inverse=True)[starts])
 
 
+def joined_bytes(texts: list[str], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' UTF-8 bytes with a space after each, and where each begins; ``lower`` changes A to Z."""
+    encoded = [t.encode().lower() if lower else t.encode() for t in texts]
+    return np.frombuffer(b" ".join(encoded), np.uint8), np.cumsum([0, *[len(e) + 1 for e in encoded]])
+
+
+def codes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Code of every word of UTF-8 bytes."""
+    return range_codes(data.astype(np.uint64) + np.uint64(1), starts, ends, BYTE_BASE)
+
+
 def word_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all words of the texts one after another, and the place of each text's first word (and the end)."""
-    encoded = [t.encode() for t in texts]
-    data = np.frombuffer(b" ".join(encoded), np.uint8)
+    data, begins = joined_bytes(texts)
     starts, ends = spans(data)
-    codes = range_codes(data.astype(np.uint64) + np.uint64(1), starts, ends, BYTE_BASE)
-    begins = np.cumsum([0, *[len(e) + 1 for e in encoded]])
-    return codes, np.searchsorted(starts, begins)
+    return codes_of(data, starts, ends), np.searchsorted(starts, begins)
 
 
 def gram_codes(codes: np.ndarray, length: int) -> np.ndarray:

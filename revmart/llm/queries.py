@@ -13,6 +13,7 @@ from revmart.llm.common import read_table
 from revmart.llm.embeddings import near_vectors
 from revmart.llm.maxent import score_documents
 from revmart.llm.mixing import MIX_SQL, mix_sources
+from revmart.llm.pii import replace_entities
 from revmart.llm.repeats import remove_repeats
 from revmart.llm.sharding import shard_rows
 from revmart.llm.simhash import hex_digits, near_duplicates
@@ -20,6 +21,8 @@ from revmart.llm.toxicity import fit, is_held_out, score
 
 #: The BPE file the queries use; operators take a path.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+#: The key of the queries' surrogates; a deployment passes its own.
+KEY = "surrogates of the test tables"
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +38,11 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = replace_entities(read_table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+    return replaced.select("doc_id", "n_entities", "text")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, fit(docs, read_table(spark, sf_dir, "labels")))
@@ -73,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_maxent": op3_maxent,
     "op4_repeats": op4_repeats,
+    "op5_surrogates": op5_surrogates,
     "op6_toxicity": op6_toxicity,
     "op7_source_mix": op7_source_mix,
     "op8_simhash": op8_simhash,

@@ -353,29 +353,42 @@ class Decoder:
     def feed(self, ids: list[int]) -> str:
         return self.utf8.decode(b"".join(map(self.bytes_of, ids)))
 
+    def decode(self, ids: np.ndarray) -> str:
+        blocks = [self.feed(ids[i : i + BLOCK].tolist()) for i in range(0, len(ids), BLOCK)]
+        return "".join([*blocks, self.finish()])
+
     def finish(self) -> str:
         rest = self.utf8.decode(b"", True)
         self.utf8.reset()
         return rest
 
 
-def encode_documents(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
-    """Every column of ``docs`` and ``tokens``, the ids of the text."""
+def encode_documents(docs: DataFrame, path: str, column: str = "text", verify: bool = False) -> DataFrame:
+    """Every column of ``docs`` and ``tokens``, the ids of the text.
+
+    With ``verify`` also ``round_trip``: whether decoding the ids gives the text again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)
+        decoder = Decoder(encoder.vocab)
         for batch in batches:
             at = batch.schema.get_field_index(column)
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                ids = [np.frombuffer(b"".join(encoder.encode(t or "")), np.int32) for t in part.column(at).to_pylist()]
-                ends = np.cumsum([0, *map(len, ids)])
-                lists = pa.LargeListArray.from_arrays(ends, np.concatenate(ids)).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "tokens"])
-
-    plain = docs.drop("tokens")
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                ids = [np.frombuffer(b"".join(encoder.encode(t)), np.int32) for t in texts]
+                ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+                arrays = [*part.columns, pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids)))]
+                names = [*part.schema.names, "tokens"]
+                if verify:
+                    arrays.append(pa.array([decoder.decode(i) == t for i, t in zip(ids, texts)]))
+                    names.append("round_trip")
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    plain = docs.drop("tokens", "round_trip") if verify else docs.drop("tokens")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(run, f"{fields}, tokens array<int>")
+    return plain.mapInArrow(run, f"{fields}, tokens array<int>" + ", round_trip boolean" * verify)
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
@@ -384,11 +397,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(vocabulary(path))
         for batch in batches:
-            texts = []
-            for ids in batch.column(1).to_pylist():
-                ids = ids or []
-                blocks = [decoder.feed(ids[i : i + BLOCK]) for i in range(0, len(ids), BLOCK)]
-                texts.append("".join([*blocks, decoder.finish()]))
+            texts = [decoder.decode(np.array(ids or [], np.int32)) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()

@@ -27,6 +27,8 @@ from revmart.llm.common import word_count
 from revmart.operators.lineage import cut_lineage
 
 SLICES = 4096
+#: Sources whose plan (some 100 bytes each) may be broadcast.
+BROADCAST_SOURCES = 10_000
 
 
 def uniform(key: Column, seed: str) -> Column:
@@ -82,38 +84,39 @@ def _crossing(sums: DataFrame, slice_col: str) -> DataFrame:
     )
 
 
-def mix_sources(
-    docs: DataFrame,
-    weights: Sequence[int] = (5, 2, 1),
-    share: float = 1.5,
-    cap: float = 2.0,
-    seed: str = "mix",
-) -> DataFrame:
-    """Return ``doc_id, size, source, source_size, target, copies, taken`` for every row of ``docs``.
+def _ranked(docs: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
+    """``docs`` (source, size, doc_id and others) with their source's plan, rank among the drawn, and slices of the ranking.
 
-    ``copies`` is how often the mix takes the document, ``taken`` its words times copies.
+    The plan has a row per source; it is broadcast if these are few, else Spark chooses the join.
     """
+    side = F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
+    u = uniform(F.col("doc_id"), seed)
+    odds = (u / (1 - u)) / (F.col("_mix.p") / (1 - F.col("_mix.p")))
+    joined = docs.join(side, F.col("source").cast("string").eqNullSafe(F.col("_mix.source")), "inner")
+    rank = F.col("_q") / (1 + F.col("_q"))
+    return (
+        joined.withColumn("_q", F.when(F.col("_mix.p") > 0, odds))
+        .withColumn("_s1", F.floor(rank * SLICES).cast("int"))
+        .withColumn("_s2", F.floor((rank * SLICES - F.col("_s1")) * SLICES).cast("int"))
+    )
+
+
+def mixing_plan(docs: DataFrame, weights: Sequence[int], share: float, cap: float, seed: str) -> DataFrame:
+    """One row per source, column ``_mix``: its targets, certain copies, probability, and where its ranking stops."""
     narrow = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count().alias("size"))
     sizes = cut_lineage(narrow)
-    targets = cut_lineage(source_targets(sizes, weights, share, cap))
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    side = (
-        targets.withColumn("whole", F.floor(factor).cast("long"))
+    targets = cut_lineage(
+        source_targets(sizes, weights, share, cap)
+        .withColumn("whole", F.floor(factor).cast("long"))
         .withColumn("p", factor - F.floor(factor))
         .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size"))
-        .withColumnRenamed("source", "_source")
     )
-    u = uniform(F.col("doc_id"), seed)
-    odds = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
-    rank = F.col("q") / (1 + F.col("q"))
-    ranked = (
-        sizes.join(side, F.col("source").eqNullSafe(F.col("_source")), "inner")
-        .drop("_source")
-        .withColumn("q", F.when(F.col("p") > 0, odds))
-        .withColumn("s1", F.floor(rank * SLICES).cast("int"))
-        .withColumn("s2", F.floor((rank * SLICES - F.col("s1")) * SLICES).cast("int"))
+    drawn = (
+        _ranked(sizes, targets.select(F.struct("*").alias("_mix")), seed)
+        .where("_mix.p > 0")
+        .select("doc_id", "size", "_mix.place", "_mix.wanted", F.col("_q").alias("q"), F.col("_s1").alias("s1"), F.col("_s2").alias("s2"))
     )
-    drawn = ranked.where("p > 0")
     first = drawn.groupBy("place", "s1").agg(
         F.sum("size").alias("words"), F.first("wanted").alias("wanted"), F.lit(0).cast("long").alias("base")
     )
@@ -135,21 +138,49 @@ def mix_sources(
         .agg(F.max(F.struct("q", "doc_id", "size")).alias("last"))
     )
     cuts = cut1.drop("base").join(cut2.drop("base"), "place", "left").join(last, "place", "left")
+    return cut_lineage(targets.join(cuts, "place", "left").select(F.struct("*").alias("_mix")))
+
+
+def mix_sources(
+    docs: DataFrame,
+    weights: Sequence[int] = (5, 2, 1),
+    share: float = 1.5,
+    cap: float = 2.0,
+    seed: str = "mix",
+) -> DataFrame:
+    """Every column of ``docs`` and ``mix``: a structure of ``size, source_size, target, copies, taken``.
+
+    ``copies`` is how often the mix takes the document, ``taken`` its words times copies.  The texts are not shuffled
+    unless there are more sources than may be broadcast.
+    """
+    plan = mixing_plan(docs, weights, share, cap, seed)
+    names = [c for c in docs.columns if c != "mix"]
+    ranked = _ranked(docs.select(*names, word_count().alias("_size")), plan, seed)
+    s1, s2 = F.col("_mix.cut_s1"), F.col("_mix.cut_s2")
+    own = F.struct(F.col("_q").alias("q"), F.col("doc_id"), F.col("_size").alias("size"))
     ahead = (
-        F.col("cut_s1").isNull()
-        | (F.col("s1") < F.col("cut_s1"))
-        | ((F.col("s1") == F.col("cut_s1")) & (F.col("cut_s2").isNull() | (F.col("s2") < F.col("cut_s2"))))
-        | (
-            (F.col("s1") == F.col("cut_s1"))
-            & (F.col("s2") == F.col("cut_s2"))
-            & (F.struct("q", "doc_id", "size") <= F.col("last"))
-        )
+        s1.isNull()
+        | (F.col("_s1") < s1)
+        | ((F.col("_s1") == s1) & (s2.isNull() | (F.col("_s2") < s2)))
+        | ((F.col("_s1") == s1) & (F.col("_s2") == s2) & (own <= F.col("_mix.last")))
     )
-    extra = F.when((F.col("p") > 0) & F.coalesce(ahead, F.lit(False)), 1).otherwise(0)
-    copies = F.col("whole") + extra
-    return ranked.join(cuts, "place", "left").select(
-        "doc_id", "size", "source", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+    extra = F.when((F.col("_mix.p") > 0) & F.coalesce(ahead, F.lit(False)), 1).otherwise(0)
+    copies = F.col("_mix.whole") + extra
+    mix = F.struct(
+        F.col("_size").alias("size"),
+        F.col("_mix.source_size").alias("source_size"),
+        F.col("_mix.target").alias("target"),
+        copies.alias("copies"),
+        (copies * F.col("_size")).alias("taken"),
     )
+    return ranked.select(*names, mix.alias("mix"))
+
+
+def repeated(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them."""
+    mixed = mix_sources(docs, **settings)
+    times = F.explode(F.array_repeat(F.lit(0), F.col("mix.copies").cast("int"))).alias("_time")
+    return mixed.select(*docs.columns, times).drop("_time")
 
 
 #: The query's rows in DuckDB SQL: weights 5, 2, 1, share 1.5, cap 2, seed "mix".

@@ -15,6 +15,7 @@ from revmart.llm.maxent import score_documents
 from revmart.llm.mixing import MIX_SQL, mix_sources
 from revmart.llm.pii import replace_entities
 from revmart.llm.repeats import remove_repeats
+from revmart.llm.search import search
 from revmart.llm.sharding import shard_rows
 from revmart.llm.simhash import hex_digits, near_duplicates
 from revmart.llm.toxicity import fit, is_held_out, score
@@ -25,6 +26,12 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 KEY = "surrogates of the test tables"
 
 
+def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    queries = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return search(docs, queries, k=10)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -51,8 +58,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix_sources(read_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mix_sources(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +85,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_search": op1_search,
     "op2_bpe": op2_bpe,
     "op3_maxent": op3_maxent,
     "op4_repeats": op4_repeats,

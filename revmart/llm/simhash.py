@@ -133,12 +133,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` names their component; of rows with equal ``doc_id`` one stays."""
+    """The rows of ``docs`` whose ``doc_id`` names their component.
+
+    Of rows with equal ``doc_id`` one stays; rows with a null one all stay, since no component is theirs to name.
+    """
     names = near_duplicates(docs, shingle, max_bits)
-    kept = names.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", "_kept")
-    stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return stays.dropDuplicates(["doc_id"])
+    kept = names.where("doc_id = component_id").select("doc_id").distinct()
+    stays = docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return stays.union(docs.where("doc_id IS NULL"))
 
 
 def hex_digits(fp: Column) -> Column:

@@ -159,7 +159,7 @@ def _deep_nodes(entries: DataFrame, window: int) -> DataFrame:
         at = np.nonzero(repeats)[0]
         e, s = entry[at], place[at]
         new = np.nonzero(np.concatenate(([True], (np.diff(e) != 0) | (np.diff(s) != 1))))[0] if len(at) else at
-        last = np.append(new[1:], len(at)) - 1
+        last = np.append(new[1:], len(at)) - 1 if len(at) else at
         rows = pa.array(e[new])
         arrays = [
             table.column("doc_id").take(rows).combine_chunks(),

@@ -76,6 +76,7 @@ class Vocabulary:
         made = {whole: (rank, left, right) for rank, (left, right, whole) in reversed([*enumerate(pairs)])}
         plain = [t for t in self.bytes_of if t not in self.special.values()]
         self.ids = {self.bytes_of[t]: t for t in plain}
+        self.longest = max(map(len, self.ids))
         self.prefixes = {data[:i] for data in self.ids for i in range(1, len(data) + 1)}
         self.last_of = {t: self._spine(t, made, 2) for t in plain}
         self.first_of = {t: self._spine(t, made, 1) for t in plain}
@@ -114,6 +115,10 @@ class Vocabulary:
                 longest[token] = max(longest[token], reach)
         return most
 
+    def window(self) -> int:
+        """Bytes of a run that are held at most: there is always a token that ends before the lookahead."""
+        return max(WINDOW, self.longest) + self.lookahead
+
     def fits(self, a: int, b: int) -> bool:
         """Whether ``a`` and ``b`` stay apart when their bytes are merged next to each other.
 
@@ -211,7 +216,7 @@ class RunEncoder:
         self.vocab, self.emit, self.held = vocab, emit, b""
 
     def feed(self, data: bytes) -> None:
-        size = WINDOW + self.vocab.lookahead
+        size = self.vocab.window()
         at = 0
         while len(self.held) + len(data) - at > size:
             taken = size - len(self.held)
@@ -240,7 +245,7 @@ class RunEncoder:
 
 def encode_piece(vocab: Vocabulary, piece: str, emit: Callable[[list[int]], None]) -> None:
     data = piece.encode()
-    if len(data) <= WINDOW + vocab.lookahead:
+    if len(data) <= vocab.window():
         return emit(vocab.encode(data))
     run = RunEncoder(vocab, emit)
     run.feed(data)

@@ -1,0 +1,195 @@
+"""BPE, repeats, personal data and toxicity."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest import SF_DIR, local_frame
+from llm_cases import awkward, awkward_rows, empty, sentences
+from tokenizers import Tokenizer
+
+from revmart.llm import bpe, pii, repeats, toxicity
+from revmart.llm.queries import QUERIES
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = Tokenizer.from_file(PATH)
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+def ids_of(text):
+    return np.frombuffer(b"".join(bpe.encoder_of(PATH).encode(text)), np.int32).tolist()
+
+
+def strings():
+    rng = random.Random(4)
+    out = ["", " ", "\n", "a ", " a", "a  b", "a\n\nb", "don't WE'LL", "x<|endoftext|>y", "a b", "　 x", "日本語 é", "\x1cq", "½ Ⅷ ٣"]
+    out += ["".join(rng.choice("ab et\n  '.,1é日\t ") for _ in range(rng.randint(1, 40))) for _ in range(500)]
+    for n in (2000, 70_000):
+        out += ["a" * n, " " * n + "x", "-" * n, "the" * (n // 3), "".join(rng.choice("ÃÂ") for _ in range(n)), "ab cd " * (n // 6)]
+    return out
+
+
+def test_encoding_equals_the_library(library):
+    for text in strings():
+        ids = ids_of(text)
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        assert bpe.Decoder(bpe.vocabulary(PATH)).decode(np.array(ids, np.int32)) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_windows_with_lookahead_equal_whole_merges(monkeypatch):
+    monkeypatch.setattr(bpe, "WINDOW", 8)
+    vocab, rng = bpe.vocabulary(PATH), random.Random(5)
+    for _ in range(60):
+        text = "".join(rng.choice(["the", "ing", "tion", "ab", "e", "s", "ÃÂ", "ss"]) for _ in range(400)).encode()
+        ids = []
+        run = bpe.RunEncoder(vocab, ids.extend)
+        for i in range(0, len(text), 37):
+            run.feed(text[i : i + 37])
+            assert len(run.held) <= vocab.longest + vocab.lookahead
+        run.finish()
+        assert ids == vocab.merge(text) == vocab.encode(text)
+
+
+def test_bpe_frames(spark, library):
+    rows = awkward_rows()
+    encoded = bpe.encode_documents(awkward(spark), PATH, verify=True)
+    want = Counter((r[0], tuple(library.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows)
+    got = encoded.select("doc_id", "tokens", "round_trip").collect()
+    assert Counter((r["doc_id"], tuple(r["tokens"])) for r in got) == want
+    assert all(r["round_trip"] for r in got)
+    assert Counter(map(tuple, bpe.decode_documents(encoded, PATH).collect())) == Counter((r[0], r[1] or "") for r in rows)
+    digests = bpe.round_trip_digests(awkward(spark), PATH).collect()
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    assert Counter(map(tuple, digests)) == Counter(
+        (i, len(ids), sha(",".join(map(str, ids)).encode()), sha(next((r[1] or "").encode() for r in rows if r[0] == i and tuple(library.encode(r[1] or "", add_special_tokens=False).ids) == ids)))
+        for (i, ids), n in want.items()
+        for _ in range(n)
+    )
+    assert bpe.encode_documents(empty(spark), PATH).count() == bpe.round_trip_digests(empty(spark), PATH).count() == 0
+
+
+def plain_repeats(rows, window=50):
+    first = {}
+    for i, text in rows:
+        words = (text or "").encode().split()
+        for p in range(len(words) - window + 1 if i is not None else 0):
+            key = tuple(words[p : p + window])
+            first[key] = min(first.get(key, i), i)
+    out = []
+    for i, text in rows:
+        words = (text or "").encode().split()
+        gone = set()
+        for p in range(len(words) - window + 1 if i is not None else 0):
+            if first[tuple(words[p : p + window])] < i:
+                gone.update(range(p, p + window))
+        out.append((i, len(words), len(gone), b" ".join(w for p, w in enumerate(words) if p not in gone).decode()))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("group", [2, 20_000])
+def test_repeats_against_all_windows(spark, monkeypatch, group):
+    monkeypatch.setattr(repeats, "GROUP", group)
+    passages = sentences(7, 3, 70)
+    fresh = sentences(8, 30, 90)
+    rows = [(100 + i, t + " " + passages[i % 3] + " " + t[::-1]) for i, t in enumerate(fresh)]
+    own = [(r[0], r[1]) for r in awkward_rows()] + rows
+    frame = local_frame(spark, own, "doc_id long, text string").unionByName(awkward(spark).limit(0), allowMissingColumns=True)
+    assert Counter(map(tuple, repeats.remove_repeats(frame).collect())) == plain_repeats(own)
+
+
+def test_repeats_of_nothing(spark):
+    assert repeats.remove_repeats(empty(spark)).count() == 0
+
+
+def test_surrogates_keep_type_and_form():
+    key = b"k" * 32
+    text = 'Mail a.b@mail7.example.com or A.B@MAIL7.EXAMPLE.COM, call +1 (974) 555-3436, card 4111 1111 1111 1111, ip 97.51.17.173.'
+    new, n = pii.rewrite(text, key, {})
+    found, made = pii.find_entities(text), pii.find_entities(new)
+    assert n == 5 and [e.kind for e in found] == [e.kind for e in made]
+    assert all(a.value != b.value and len(a.shown) == len(b.shown) for a, b in zip(found, made))
+    assert made[0].value == made[1].value and made[1].shown.isupper()
+    digits = [int(c) for c in made[3].value if c.isdigit()]
+    assert pii.check_digit(digits[:-1]) == digits[-1]
+    assert pii.rewrite(text, key, {}) == (new, n) != pii.rewrite(text, b"l" * 32, {})
+
+
+def test_names_keep_gender_script_and_reference():
+    new, n = pii.rewrite("Mr. John Smith met Mrs Smith, г-жа Анна Петрова.", b"k" * 32, {})
+    words = new.replace(",", "").replace(".", "").split()
+    assert n == 5 and words[2] == words[5] != "Smith"
+    assert words[7][-1] in "ая" and all("а" <= c <= "я" for c in words[7].lower())
+
+
+def test_permutations_are_one_to_one():
+    for radices in ([10, 10, 10], [26, 10], [7], [156, 10, 90]):
+        size = int(np.prod(radices))
+        vectors = [list(np.unravel_index(i, radices)) for i in range(size)]
+        assert len({tuple(pii.permute([int(x) for x in v], radices, b"key", "t")) for v in vectors}) == size
+
+
+def test_collisions_are_drawn_again(spark, monkeypatch):
+    # Few names can be made, and some values are others' surrogates.
+    monkeypatch.setattr(pii, "SYLLABLES", {"latin": ("bd", "ao", {"m": ("n",) * 4, "f": ("a",) * 4, "": ("s",) * 4})})
+    key = hashlib.blake2b(b"x", digest_size=32).digest()
+    ip = "11.22.33.44"
+    texts = [(i, f"Mr Family{w} was here") for i, w in enumerate(["one", "two", "three", "four", "five", "six"])]
+    texts += [(50, ip), (51, pii.surrogate("ip", ip, key))]
+    frame = local_frame(spark, texts, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.replace_entities(frame, "x").collect()}
+    draws = {(r["kind"], r["value"]): r["draw"] for r in pii.exceptions(pii.entities(frame), key).collect()}
+    assert draws[("ip", ip)] > 0
+    assert got == {i: pii.rewrite(t, key, draws)[0] for i, t in texts}
+    assert len(set(got.values())) == len(got) and not set(got.values()) & {t for _, t in texts}
+
+
+def test_surrogate_frames(spark):
+    got = pii.replace_entities(awkward(spark), "x")
+    key = hashlib.blake2b(b"x", digest_size=32).digest()
+    want = Counter((r[0], *((None, 0) if r[1] is None else pii.rewrite(r[1], key, {}))) for r in awkward_rows())
+    assert Counter(tuple(r) for r in got.select("doc_id", "text", "n_entities").collect()) == want
+    assert pii.replace_entities(empty(spark), "x").count() == 0
+
+
+def test_toxicity_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id")
+    rows = docs.select("doc_id", "text", "toxic", toxicity.is_held_out().alias("held")).orderBy("doc_id").collect()
+    learned = [r for r in rows if not r["held"]]
+    machine = toxicity.train([r["text"] for r in learned], [r["toxic"] for r in learned])
+    held = [r for r in rows if r["held"]]
+    said = machine.scores([r["text"] for r in held]) >= 0.5
+    truth = np.array([r["toxic"] for r in held]) == 1
+    assert said[truth].mean() > 0.85 and said[~truth].mean() < 0.01
+    clean, plain = machine.features(["the and of the"])[0][0], machine.features(["idiot"])[0][0]
+    for gapped in ("i.d.i.o.t", "i d i o t", "IDIOT!", "idi-ot"):
+        assert machine.features([gapped])[0][0] == pytest.approx(plain)
+    for inserted in ("idixot", "stuupid", "worthxless"):
+        assert machine.features([inserted])[0][0] > clean + 0.4 * (plain - clean)
+
+
+def test_toxicity_frames(spark):
+    docs, labels = spark.read.parquet(f"{SF_DIR}/documents.parquet"), spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    machine = toxicity.fit(docs, labels)
+    scored = toxicity.score(awkward(spark), machine)
+    assert scored.columns[-1] == "toxicity" and set(scored.columns) == set(awkward(spark).columns)
+    got = Counter((r["doc_id"], round(r["toxicity"], 9)) for r in scored.collect())
+    want = Counter((r[0], round(float(machine.scores([r[1] or ""])[0]), 9)) for r in awkward_rows())
+    assert got == want and all(0 <= s <= 1 for _, s in got)
+    none = local_frame(spark, [(1, None), (None, 1)], "doc_id long, toxic int")
+    assert [round(r["toxicity"], 6) for r in toxicity.score(awkward(spark).limit(2), toxicity.fit(docs, none)).collect()] == [0, 0]
+    assert toxicity.score(empty(spark), machine).count() == 0
+
+
+def test_toxicity_query_columns(spark):
+    df = QUERIES["op6_toxicity"](spark, SF_DIR)
+    assert df.columns == ["doc_id", "held_out", "score", "predicted"] and df.count() == 200

@@ -15,9 +15,8 @@ class Config:
 
     ``org`` is the spelling of the company's own name inside CRM column names
     (``<org>_contact__c``, ``why_<org>``).  With ``org`` set, the published columns carry it
-    too; without it they carry neutral names.  ``live_record_types_only=False`` lets quotes
-    show the names of retired record types.  ``quote_tie`` is the column deciding between
-    quote versions of equal age; by default the whole row decides.
+    too; without it they carry neutral names.  ``quote_tie`` is the column deciding between
+    quote versions of equal age; by default a digest of the row decides.
     """
 
     org: str | None = None
@@ -26,7 +25,6 @@ class Config:
     product_logic_version: str = "product_conform_v1"
     as_of: datetime | None = None
     lenient_times: bool = False
-    live_record_types_only: bool = True
     quote_tie: str | None = None
 
     @property

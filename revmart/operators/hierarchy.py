@@ -5,15 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revmart.operators.lineage import cut_lineage
-from revmart.operators.lookups import (
-    Lookup,
-    enrich,
-    exists_flag,
-    fits_broadcast,
-    frequent_keys,
-    spread_left_join,
-)
+from revmart.operators.lookups import Lookup, enrich, exists_flag
 
 MANAGER_ATTRS = {"user_id": "user_id", "user_name": "name", "title": "title"}
 
@@ -22,66 +14,24 @@ def level_column(level: int, attr: str) -> str:
     return f"manager_level_{level}_{attr}"
 
 
-def _direct_chain(users: DataFrame, levels: int) -> DataFrame:
-    """One broadcast lookup per level against the narrowed user frame."""
-    out = users
-    for level in range(1, levels + 1):
-        fk = "manager_id" if level == 1 else f"_next_{level - 1}"
-        attrs = {a: level_column(level, b) for a, b in MANAGER_ATTRS.items()} | {"manager_id": f"_next_{level}"}
-        out = enrich(out, [Lookup(users, fk, "user_id", attrs)], "user_id")
-    return out.drop(*[f"_next_{level}" for level in range(1, levels + 1)])
-
-
-def _attach(df: DataFrame, paths: DataFrame, fk: str, alias: str, rows_per_slice: int | None) -> DataFrame:
-    """Fetch the path starting at ``fk`` for every row of ``df``."""
-    side = paths.select(F.col("user_id").alias("_path_start"), F.col("path").alias(alias))
-    hot = cut_lineage(frequent_keys(df, [fk], rows_per_slice))
-    return spread_left_join(df, side, fk, "_path_start", "user_id", hot)
-
-
-def _doubled_chain(users: DataFrame, levels: int, rows_per_slice: int | None) -> DataFrame:
-    """Paths over managers only, doubled until long enough, then fetched once per user.
-
-    A path starts at a manager and runs upwards.  Joining paths to paths by the last
-    element's manager doubles their length, so seven levels take three joins over the
-    managers and one over the users.  Every round continues from a checkpoint: a path feeds
-    both sides of the next join, and without the cut the plan would double as well.
-    """
-    person = F.struct("user_id", F.col("user_name").alias("name"), "title", "manager_id")
-    paths = cut_lineage(users.where("is_manager_flag").select("user_id", F.array(person).alias("path")))
-    nothing = F.array().cast(paths.schema["path"].dataType)
-    length = 1
-    while length < levels:
-        ends = paths.withColumn("next_id", F.get(F.col("path"), F.size("path") - 1)["manager_id"])
-        joined = _attach(ends, paths, "next_id", "_upper", rows_per_slice)
-        paths = cut_lineage(
-            joined.select("user_id", F.concat("path", F.coalesce(F.col("_upper"), nothing)).alias("path"))
-        )
-        length *= 2
-
-    above = [
-        F.get(F.col("_path"), F.lit(level - 1))[attr].alias(level_column(level, attr))
-        for level in range(1, levels + 1)
-        for attr in MANAGER_ATTRS.values()
-    ]
-    return _attach(users, paths, "manager_id", "_path", rows_per_slice).select(*users.columns, *above)
-
-
-def with_manager_flag(users: DataFrame, rows_per_slice: int | None = None) -> DataFrame:
+def with_manager_flag(users: DataFrame) -> DataFrame:
     """Add ``is_manager_flag``: whether some user reports to this one."""
     managers = users.select(F.col("manager_id").alias("_manager"))
-    return exists_flag(users, managers, "user_id", "_manager", "is_manager_flag", "user_id", rows_per_slice)
+    return exists_flag(users, managers, "user_id", "_manager", "is_manager_flag")
 
 
-def manager_chain(users: DataFrame, levels: int = 7, rows_per_slice: int | None = None) -> DataFrame:
-    """Add ``manager_level_<k>_{user_id,name,title}`` for every level.
+def manager_chain(users: DataFrame, levels: int = 7) -> DataFrame:
+    """Add ``manager_level_<k>_{user_id,name,title}`` for every level, by one lookup per level.
 
-    ``users`` needs ``user_id, manager_id, user_name, title, is_manager_flag`` with unique
-    ids.  A chain ends at the first manager that is missing; a cycle fills all levels.
+    ``users`` needs ``user_id, manager_id, user_name, title`` with unique ids.  A chain ends at the first manager that
+    is missing; a cycle fills all levels.
     """
-    if fits_broadcast(users.select("user_id", "user_name", "title", "manager_id")):
-        return _direct_chain(users, levels)
-    return _doubled_chain(users, levels, rows_per_slice)
+    out = users
+    for level in range(1, levels + 1):
+        fk = "manager_id" if level == 1 else f"_next_{level - 1}"
+        attrs = {a: level_column(level, b) for a, b in MANAGER_ATTRS.items()} | {"manager_id": f"_next_{level}"}
+        out = enrich(out, [Lookup(users, fk, "user_id", attrs)])
+    return out.drop(*[f"_next_{level}" for level in range(1, levels + 1)])
 
 
 def chain_depth(levels: int = 7) -> Column:

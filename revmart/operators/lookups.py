@@ -1,15 +1,11 @@
 """Left-join enrichment: lookups, role-playing lookups, existence flags.
 
-A lookup side is broadcast only when the planner's size estimate is within the session's
-``spark.sql.autoBroadcastJoinThreshold``.  Beyond it the join shuffles, and rows whose
-foreign key is NULL or very frequent are spread over many tasks: NULLs by a hash of the
-row key (they never match), frequent keys by slicing them and repeating their lookup row
-once per slice.  Both ways give the same rows.
+Joins are declared plainly and no job runs while they are.  The planner and, from measured sizes, adaptive execution
+decide which sides are broadcast; adaptive execution splits the partitions of frequent and missing keys.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -17,134 +13,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revmart.operators.lineage import cut_lineage
-
-# Rows of one key that a single task may handle before the key is sliced.
-ROWS_PER_SLICE = 1_000_000
-# Slices over which rows without a key are spread.
-NULL_SLICES = 4096
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-
 
 @dataclass(frozen=True)
 class Lookup:
-    """Fetch ``attrs`` (lookup column -> alias) from ``dim`` where ``dim.pk`` equals ``fk``.
-
-    ``sized_by`` names the frames ``dim`` was joined from; the planner multiplies the sizes
-    of join inputs, so their sum is the better estimate for a key-preserving join.
-    """
+    """Fetch ``attrs`` (lookup column -> alias) from ``dim`` where ``dim.pk`` equals ``fk``."""
 
     dim: DataFrame
     fk: str
     pk: str
     attrs: Mapping[str, str]
-    sized_by: Sequence[DataFrame] = ()
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's broadcast threshold in bytes (-1 turns broadcasting off)."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text).groups()
-    return int(number) * _UNITS[unit]
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The planner's size estimate of a frame."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(side: DataFrame, sized_by: Sequence[DataFrame] = ()) -> bool:
-    """Whether the frame's estimated size is within the session's broadcast threshold."""
-    return sum(estimated_bytes(f) for f in (sized_by or [side])) <= broadcast_limit(side)
-
-
-def frequent_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int | None = None) -> DataFrame:
-    """Keys too frequent for one task: ``(column_name, key, slices)``.
-
-    One narrow pass counts all key columns together with map-side partial sums.  At most
-    ``rows * len(keys) / rows_per_slice`` keys qualify, which bounds the result: a trillion
-    rows have at most a million such keys per column.
-    """
-    most = rows_per_slice or ROWS_PER_SLICE
-    pairs = F.array(*[F.struct(F.lit(k).alias("column_name"), F.col(k).cast("string").alias("key")) for k in keys])
-    return (
-        df.select(F.inline(pairs))
-        .where(F.col("key").isNotNull())
-        .groupBy("column_name", "key")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > most)
-        .select("column_name", "key", F.ceil(F.col("n") / most).cast("int").alias("slices"))
-    )
 
 
-def _hot(frequent: DataFrame) -> DataFrame:
-    return F.broadcast(frequent.select(F.col("key").alias("_hot_key"), F.col("slices").alias("_slices")))
-
-
-def slice_rows(df: DataFrame, fk: str, row_key: str, frequent: DataFrame) -> DataFrame:
-    """Add ``_slice``: 0 for ordinary keys, a hash of the row key for NULL and frequent ones."""
-    slices = F.when(F.col(fk).isNull(), NULL_SLICES).otherwise(F.coalesce(F.col("_slices"), F.lit(1)))
-    placed = df.join(_hot(frequent), F.col(fk).cast("string") == F.col("_hot_key"), "left")
-    return placed.withColumn("_slice", F.pmod(F.xxhash64(row_key), slices).cast("int")).drop("_hot_key", "_slices")
-
-
-def repeat_side(side: DataFrame, key: str, frequent: DataFrame) -> DataFrame:
-    """Repeat the lookup rows of frequent keys once per slice, numbered by ``_side_slice``."""
-    matched = side.join(_hot(frequent), F.col(key).cast("string") == F.col("_hot_key"), "left")
-    numbers = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
-    return matched.withColumn("_side_slice", F.explode(numbers)).drop("_hot_key", "_slices")
-
-
-def spread_left_join(
-    df: DataFrame, side: DataFrame, fk: str, side_key: str, row_key: str, frequent: DataFrame
-) -> DataFrame:
-    """Shuffled left join on ``fk = side_key`` that keeps NULL and frequent keys apart.
-
-    ``frequent`` holds ``(key, slices)`` and is small by construction (see
-    ``frequent_keys``).  It steers only the placement of rows, never the result.
-    """
-    matched = slice_rows(df, fk, row_key, frequent).join(
-        repeat_side(side, side_key, frequent),
-        (F.col(fk) == F.col(side_key)) & (F.col("_slice") == F.col("_side_slice")),
-        "left",
-    )
-    return matched.drop("_slice", "_side_slice", side_key)
-
-
-def enrich(
-    df: DataFrame,
-    lookups: Sequence[Lookup],
-    row_key: str,
-    counted_on: DataFrame | None = None,
-    rows_per_slice: int | None = None,
-) -> DataFrame:
-    """Apply lookups one after another; the row count never changes for unique lookup keys.
-
-    ``row_key`` identifies a row of ``df`` and decides its slice.  ``counted_on`` is a cheaper
-    upstream frame on which to count key frequencies (default: ``df`` itself).  The count
-    runs at once, one pass for all lookups that need it; lookups that are broadcast need none.
-    """
-    narrowed = []
+def enrich(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """Apply lookups one after another; the row count never changes for unique lookup keys."""
+    out = df
     for i, step in enumerate(lookups):
         key = f"_lookup_key_{i}"
         side = step.dim.select(F.col(step.pk).alias(key), *[F.col(a).alias(b) for a, b in step.attrs.items()])
-        narrowed.append((step, key, side, fits_broadcast(side, step.sized_by)))
+        out = out.join(side, F.col(step.fk) == F.col(key), "left").drop(key)
+    return out
 
-    shuffled = sorted({step.fk for step, _, _, small in narrowed if not small})
-    frequent = None
-    if shuffled:
-        counted = counted_on if counted_on is not None else df
-        frequent = cut_lineage(frequent_keys(counted, shuffled, rows_per_slice))
 
-    out = df
-    for step, key, side, small in narrowed:
-        if small:
-            out = out.join(F.broadcast(side), F.col(step.fk) == F.col(key), "left")
-        else:
-            hot = frequent.where(F.col("column_name") == step.fk)
-            out = spread_left_join(out, side, step.fk, key, row_key, hot)
-    return out.drop(*[key for _, key, _, small in narrowed if small])
+def duplicated_lookup_keys(lookups: Sequence[Lookup]) -> DataFrame:
+    """``fk, pk, key, n_rows`` of the lookup keys that would multiply rows; empty for sound lookups."""
+    found = [
+        duplicate_keys(step.dim.where(F.col(step.pk).isNotNull()), step.pk).select(
+            F.lit(step.fk).alias("fk"), F.lit(step.pk).alias("pk"), F.col(step.pk).cast("string").alias("key"), "n_rows"
+        )
+        for step in lookups
+    ]
+    return reduce(DataFrame.union, found)
 
 
 def presence(keys: DataFrame, key: str, fk: str, alias: str) -> Lookup:
@@ -153,11 +51,9 @@ def presence(keys: DataFrame, key: str, fk: str, alias: str) -> Lookup:
     return Lookup(present, fk, key, {alias: alias})
 
 
-def exists_flag(
-    df: DataFrame, keys: DataFrame, fk: str, key: str, flag: str, row_key: str, rows_per_slice: int | None = None
-) -> DataFrame:
+def exists_flag(df: DataFrame, keys: DataFrame, fk: str, key: str, flag: str) -> DataFrame:
     """Add ``flag``: whether ``fk`` occurs among the non-NULL values of ``keys.key``."""
-    out = enrich(df, [presence(keys, key, fk, flag)], row_key, rows_per_slice=rows_per_slice)
+    out = enrich(df, [presence(keys, key, fk, flag)])
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

@@ -14,6 +14,7 @@ def change_rollup(history: DataFrame, field: str, key: str = "opportunity_id") -
 
     Ties on the change time are broken by the prior value, later first and NULL last.
     """
+    micros = lambda c: F.unix_micros(c).cast("decimal(19,0)")
     changes = history.where(
         ~F.coalesce(F.col("is_deleted"), F.lit(False))
         & (F.lower(F.coalesce(F.col("field_name"), F.lit(""))) == field)
@@ -23,8 +24,11 @@ def change_rollup(history: DataFrame, field: str, key: str = "opportunity_id") -
         F.col("old_value").try_cast("timestamp").alias("prior"),
         F.col("new_value").try_cast("timestamp").alias("new"),
     )
+    # Both times in one number of fixed width, so that the aggregation hashes and needs no sort.
+    missing = F.lit(-(10**18) + 1).cast("decimal(19,0)")
+    latest = F.coalesce(micros("changed_at"), missing) * F.lit(10**18).cast("decimal(19,0)") + F.coalesce(micros("prior"), missing)
     return changes.groupBy(key).agg(
-        F.max(F.struct("changed_at", "prior"))["prior"].alias("prior_value"),
+        F.max_by("prior", latest).alias("prior_value"),
         F.count("*").alias("change_count"),
         F.count_if(F.col("new") > F.col("prior")).alias("push_count"),
     )
@@ -51,5 +55,5 @@ def bridged_max(left: DataFrame, left_key: str, bridge: DataFrame, bridge_key: s
     """
     matched = left.select(left_key, value, F.lit(True).alias("_matched"))
     step = Lookup(matched, bridge_key, left_key, {value: value, "_matched": "_matched"})
-    pairs = enrich(bridge.select(bridge_key, by).distinct(), [step], row_key=by).where("_matched")
+    pairs = enrich(bridge.select(bridge_key, by).distinct(), [step]).where("_matched")
     return pairs.groupBy(by).agg(F.max(value).alias(value))

@@ -33,9 +33,9 @@ def first_per_key(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]
 def latest_per_key(df: DataFrame, key: str, newest_by: Sequence[str], tie: str | None = None) -> DataFrame:
     """Keep the newest row per key; unknown times are oldest.
 
-    Rows of equal age are ordered by ``tie``, by default by their whole content, so the
+    Rows of equal age are ordered by ``tie``, by default by a digest of their content, so the
     outcome never depends on how the rows are distributed.
     """
-    last = F.col(tie) if tie else F.struct(*sorted(df.columns))
+    last = F.col(tie) if tie else F.xxhash64(*sorted(df.columns))
     order = [F.col(c).desc_nulls_last() for c in newest_by] + [last.desc_nulls_last()]
     return first_per_key(df, [F.col(key)], order)

@@ -145,10 +145,12 @@ def build_models(
 ) -> dict[str, DataFrame]:
     """Build the selected models from raw inputs.
 
-    With a store, every stored model that is built (selected ones and the stored models
-    they need) replaces its table, and later models read that table back.  Without one all
-    results stay lazy.  Views are registered under their names when a store is given.
+    With a store, every selected stored model replaces its table, and later models read that
+    table back; stored models they need are read from their tables, and built only where there
+    is none yet.  Without one all results stay lazy.  Views are registered under their names
+    when a store is given.
     """
+    wanted = selected(only)
     built: dict[str, DataFrame] = {}
 
     def get(name: str) -> DataFrame:
@@ -158,15 +160,19 @@ def build_models(
             return inputs[name]
         if name not in built:
             model = MODELS[name]
-            df = model.build(get, cfg)
-            if store is not None and model.stored:
-                df = store.rebuild(df, name, model.layer)
-            elif store is not None:
-                df.createOrReplaceTempView(name)
+            df = None
+            if store is not None and model.stored and name not in wanted:
+                df = store.read(name, model.layer)
+            if df is None:
+                df = model.build(get, cfg)
+                if store is not None and model.stored:
+                    df = store.rebuild(df, name, model.layer)
+                elif store is not None:
+                    df.createOrReplaceTempView(name)
             built[name] = df
         return built[name]
 
-    return {name: get(name) for name in selected(only)}
+    return {name: get(name) for name in wanted}
 
 
 def check_models(

@@ -18,16 +18,17 @@ from revmart.plans.reference import accounts, record_types
 # Stages in order with their group, reasons, categories and labels.
 # ---------------------------------------------------------------------------------------
 STAGES = {
-    "Unqualified": ("Prospect", "Qualify"),
-    "Qualified": (
-        "Build & Validate",
-        "Negotiate",
-        "Confirm",
-        "Customer PO In Process",
-        "PO In House",
-        "Awaiting Service Delivery",
-    ),
-    "Closed": ("Closed Won", "Closed Lost", "Closed"),
+    "Prospect": (1, "Unqualified"),
+    "Qualify": (2, "Unqualified"),
+    "Build & Validate": (3, "Qualified"),
+    "Negotiate": (4, "Qualified"),
+    "Confirm": (5, "Qualified"),
+    "Customer PO In Process": (6, "Qualified"),
+    "PO In House": (7, "Qualified"),
+    "Awaiting Service Delivery": (8, "Qualified"),
+    "Closed Won": (9, "Closed"),
+    "Closed Lost": (10, "Closed"),
+    "Closed": (11, "Closed"),
 }
 EARLY_STAGES = ("Prospect", "Qualify")
 LOST_STAGE = "Closed Lost"
@@ -48,8 +49,8 @@ CLOSE_DATE_FIELD = "closedate"
 SUPPORT_TASK_TYPE = "BVA Support Request"
 # ---------------------------------------------------------------------------------------
 
-STAGE_GROUP = {stage: group for group, stages in STAGES.items() for stage in stages}
-STAGE_ORDER = {stage: place for place, stage in enumerate(STAGE_GROUP, start=1)}
+STAGE_ORDER = {stage: order for stage, (order, _) in STAGES.items()}
+STAGE_GROUP = {stage: group for stage, (_, group) in STAGES.items()}
 
 
 def non_qualified_loss() -> Column:
@@ -129,7 +130,7 @@ def with_coverage(opportunity: DataFrame, task: DataFrame, proposition: DataFram
 def billing_countries(address: DataFrame, account: DataFrame) -> DataFrame:
     """Country of the account behind every billing address."""
     step = Lookup(accounts(account), "account_id", "account_id", {"bill_country": "bill_country"})
-    return enrich(address.select("address_id", "account_id"), [step], row_key="address_id")
+    return enrich(address.select("address_id", "account_id"), [step])
 
 
 def build_dim_opportunity(
@@ -164,7 +165,6 @@ def build_dim_opportunity(
                 "bill_to",
                 "address_id",
                 {"bill_country": "opportunity_owner_country"},
-                sized_by=(address, account),
             ),
             Lookup(
                 record_types(recordtype),
@@ -173,8 +173,6 @@ def build_dim_opportunity(
                 {"record_type_name": "opportunity_record_type_desc"},
             ),
         ],
-        row_key="opportunity_id",
-        counted_on=base,
     )
     computed = (
         synced_quote()

@@ -96,9 +96,8 @@ def with_selling_model(product: DataFrame, model: DataFrame, option: DataFrame)
         "product2_id",
         "product2_id",
         {"product_selling_model_name": "product_selling_model_name"},
-        sized_by=(model, option),
     )
-    return enrich(product, [step], row_key="product2_id")
+    return enrich(product, [step])
 
 
 def build_dim_product(product: DataFrame, model: DataFrame, option: DataFrame, cfg: Config) -> DataFrame:

@@ -15,9 +15,9 @@ from revmart.operators.rollups import line_rollup
 from revmart.operators.unions import union_sources
 from revmart.operators.versions import current, latest_per_key, live
 from revmart.plans import contracts
-from revmart.plans.reference import record_types
+from revmart.plans.reference import any_record_types
 
-# The precisions at which refresh amounts are read.
+# The precisions at which refresh amounts are read; published amounts keep the wide one.
 WIDE_AMOUNT = "decimal(33,15)"
 NARROW_AMOUNT = "decimal(30,4)"
 
@@ -34,7 +34,14 @@ def live_cpq(cpq: DataFrame) -> DataFrame:
 def measure(df: DataFrame, name: str) -> Column:
     """A money column; text is read as a decimal and unreadable text is NULL."""
     is_text = df.schema[name].dataType.simpleString() == "string"
-    return F.col(name).try_cast(NARROW_AMOUNT) if is_text else F.col(name)
+    return F.col(name).try_cast(WIDE_AMOUNT) if is_text else F.col(name)
+
+
+def unread_amounts(quote: DataFrame, name: str = "gross_refresh_acv") -> DataFrame:
+    """The texts of a money column that are no amounts, with the number of rows that have them."""
+    given = quote.select(blank_to_null(name).alias("text"))
+    unread = given.where(F.col("text").isNotNull() & F.col("text").try_cast(WIDE_AMOUNT).isNull())
+    return unread.groupBy("text").agg(F.count("*").alias("n_rows"))
 
 
 def rca_flags() -> dict[str, Column]:
@@ -99,12 +106,12 @@ def build_dim_quote(
     )
     both = union_sources({"RCA": rca, "CPQ": cpq_side})
     step = Lookup(
-        record_types(recordtype, cfg.live_record_types_only),
+        any_record_types(recordtype),
         "record_type_id",
         "record_type_id",
         {"record_type_name": "record_type_name"},
     )
-    named = enrich(both, [step], row_key="quote_id", counted_on=both.select("record_type_id"))
+    named = enrich(both, [step])
     fields = contracts.published(contracts.QUOTE_DIMENSION, cfg)
     return project(named, fields, {"quote_unified_sk": surrogate_key("source_system", "quote_id")})
 
@@ -113,7 +120,7 @@ def build_fct_quote(quotes: DataFrame, cpq: DataFrame, lines: DataFrame, cfg: Co
     """``quotes`` are the latest versions, ``lines`` the per-quote rollup."""
     contract = _contract(contracts.QUOTE_FACT)
     rca = _header(quotes, contract, contracts.RCA_QUOTE_NAMES, (), rca_flags())
-    zeros = {name: F.lit(0).cast(NARROW_AMOUNT) for name in contracts.CPQ_ZERO_MEASURES}
+    zeros = {name: F.lit(0).cast(WIDE_AMOUNT) for name in contracts.CPQ_ZERO_MEASURES}
     cpq_side = _header(
         live_cpq(cpq), contract, contracts.CPQ_QUOTE_NAMES, contracts.CPQ_MISSING, cpq_flags(NARROW_AMOUNT) | zeros
     )

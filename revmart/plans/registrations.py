@@ -36,7 +36,7 @@ def migration_flags() -> dict[str, Column]:
 
 
 def build_stg_portal(raw: DataFrame, stg_legacy: DataFrame, cfg: Config) -> DataFrame:
-    flagged = enrich(conform_portal(raw, cfg), [legacy_presence(stg_legacy)], row_key="vartopia_registration_id")
+    flagged = enrich(conform_portal(raw, cfg), [legacy_presence(stg_legacy)])
     names = [f.name for f in contracts.portal_staging(cfg)]
     at = names.index("is_deleted")
     flags = [flag.alias(name) for name, flag in migration_flags().items()]
@@ -67,8 +67,6 @@ def build_dim_legacy(
             user_as("opportunity_owner", "opportunity_owner_name"),
             user_as("opportunity_owner_rd", "opportunity_owner_rd_name"),
         ],
-        row_key="deal_registration_id",
-        counted_on=base,
     )
     trimmed = ("champion_contact_email", "champion_contact_phone", "company", "lead_owner_email")
     proper = ("champion_contact_first_name", "champion_contact_last_name")
@@ -118,8 +116,6 @@ def build_dim_portal(
             Lookup(account_names, "distributor_account_id", "account_id", {"account_name": "distributor_account_name"}),
             Lookup(users, "opportunity_owner_id", "user_id", {"user_name": "opportunity_owner_name"}),
         ],
-        row_key="vartopia_registration_id",
-        counted_on=live(portal),
     )
     fields = contracts.published(contracts.PORTAL_REGISTRATION, cfg)
     return project(named, fields, migration_flags() | {"edp_updated_at": cfg.load_time()})

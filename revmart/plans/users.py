@@ -62,8 +62,6 @@ def build_dim_user(user: DataFrame, userrole: DataFrame, profile: DataFrame, cfg
             Lookup(profiles, "profile_id", "profile_id", {"profile_name": "profile_name"}),
             Lookup(links, "vp_sales_id", "user_id", {"user_name": "vp_sales_name", "title": "vp_sales_title"}),
         ],
-        row_key="user_id",
-        counted_on=base,
     )
     levels = cfg.manager_levels
     computed = {

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,12 +58,47 @@ class TableStore:
     namespace: str | None = None
     fmt: str = "parquet"
 
-    def rebuild(self, df: DataFrame, name: str, layer: str) -> DataFrame:
-        """Replace the table by ``df`` and return it as read back, cutting the lineage."""
+    def _path(self, name: str, layer: str) -> str:
+        return f"{self.base_path.rstrip('/')}/{layer}/{name}"
+
+    def read(self, name: str, layer: str) -> DataFrame | None:
+        """The stored table, or None where there is none."""
+        spark = SparkSession.active()
+        if self.namespace is not None:
+            table = f"{self.namespace}.{name}"
+            return spark.table(table) if spark.catalog.tableExists(table) else None
+        path, fs = _file_system(spark, self._path(name, layer))
+        return spark.read.format(self.fmt).load(self._path(name, layer)) if fs.exists(path) else None
+
+    def rebuild(self, df: DataFrame, name: str, layer: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Replace the table by ``df`` and return it as read back, cutting the lineage.
+
+        Files are written beside the old ones and renamed when complete, so a failed job leaves the old table.
+        Tables of a catalog are replaced as the catalog's format does it.
+        """
+        spark = df.sparkSession
         writer = df.write.mode("overwrite").format(self.fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         if self.namespace is not None:
             writer.saveAsTable(f"{self.namespace}.{name}")
-            return df.sparkSession.table(f"{self.namespace}.{name}")
-        path = f"{self.base_path.rstrip('/')}/{layer}/{name}"
-        writer.save(path)
-        return df.sparkSession.read.format(self.fmt).schema(df.schema).load(path)
+            return spark.table(f"{self.namespace}.{name}")
+        target = self._path(name, layer)
+        mark = uuid.uuid4().hex
+        (new, fs), (old, _), (path, _) = (_file_system(spark, p) for p in (f"{target}.new-{mark}", f"{target}.old-{mark}", target))
+        try:
+            writer.save(new.toString())
+        except BaseException:
+            fs.delete(new, True)
+            raise
+        if fs.exists(path):
+            fs.rename(path, old)
+        fs.rename(new, path)
+        fs.delete(old, True)
+        return spark.read.format(self.fmt).schema(df.schema).load(target)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The path and its file system, whatever store it lies in."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -6,13 +6,13 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from revmart.operators import lookups
 from revmart.operators.lineage import cut_lineage
 from revmart.operators.quality import enforce
 from revmart.plans.checks import all_rules, select_rules
 from revmart.plans.models import build_models, check_models
 from revmart.plans.queries import CFG, Frames
-from revmart.plans.reference import accounts, record_types
+from revmart.plans import quotes
+from revmart.plans.reference import accounts, any_record_types, record_types
 from revmart.sources.catalog import TableStore, read_inputs
 
 
@@ -54,11 +54,10 @@ SHUFFLED = [
 
 
 @pytest.mark.parametrize("name", SHUFFLED)
-def test_marts_without_broadcast(spark, monkeypatch, name):
-    """With every lookup shuffled and hot keys sliced, results stay the same."""
+def test_marts_without_broadcast(spark, name):
+    """With every lookup shuffled, results stay the same."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(lookups, "ROWS_PER_SLICE", 20)
     try:
         with connect(SF_DIR) as con:
             assert difference(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) is None
@@ -127,18 +126,52 @@ def test_monthly_checks_only_warn(frames):
     assert report.where(F.col("status") == "warn").count() > 0
 
 
-def test_retired_record_types_are_optional(spark):
-    quote_types = {}
-    for live_only in (True, False):
-        types = record_types(
-            spark.createDataFrame(
-                [("t1", "Live", True, None), ("t2", "Old", False, False), ("t3", "Deleted", True, True)],
-                "recordtype_id string, record_type_name string, is_current boolean, is_deleted boolean",
-            ),
-            live_only,
-        )
-        quote_types[live_only] = sorted(r.record_type_id for r in types.collect())
-    assert quote_types == {True: ["t1"], False: ["t1", "t2", "t3"]}
+def test_quotes_show_retired_record_types_once(spark):
+    versions = spark.createDataFrame(
+        [("t1", "Old name", False, None), ("t1", "Live", True, None), ("t2", "Old", False, False), ("t3", "Deleted", True, True)],
+        "recordtype_id string, record_type_name string, is_current boolean, is_deleted boolean",
+    )
+    assert sorted(tuple(r) for r in record_types(versions).collect()) == [("t1", "Live")]
+    assert sorted(tuple(r) for r in any_record_types(versions).collect()) == [("t1", "Live"), ("t2", "Old"), ("t3", "Deleted")]
+
+
+def test_refresh_amounts_keep_their_digits(spark):
+    texts = ["0.00001", "12.5", " ", "many", None, "many"]
+    given = spark.createDataFrame([(t,) for t in texts], "gross_refresh_acv string")
+    read = given.select(quotes.measure(given, "gross_refresh_acv").cast("string")).collect()
+    assert [r[0] for r in read] == ["0.000010000000000", "12.500000000000000", None, None, None, None]
+    assert [tuple(r) for r in quotes.unread_amounts(given).collect()] == [("many", 2)]
+
+
+def test_building_starts_no_job(spark, frames):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.sparkContext.setJobGroup("building", "building models")
+    try:
+        build_models(frames.inputs, CFG)
+        ids = [i for i in spark.sparkContext.statusTracker().getJobIdsForGroup("building")]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(ids) <= 8  # Spark reads the schema of each of the eight test tables once
+
+
+def test_selected_models_read_stored_ancestors(spark, frames, tmp_path):
+    store = TableStore(base_path=str(tmp_path / "out"))
+    build_models(frames.inputs, CFG, only=["dim_unified_deal_registration"], store=store)
+    tables = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*/*")}
+    build_models(frames.inputs, CFG, only=["dim_unified_deal_registration"], store=store)
+    changed = [p.name for p, t in tables.items() if p.stat().st_mtime_ns != t]
+    assert changed == ["dim_unified_deal_registration"] and len(tables) > 1
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    store = TableStore(base_path=str(tmp_path / "out"))
+    store.rebuild(spark.range(3), "t", "gold")
+    with pytest.raises(Exception):
+        store.rebuild(spark.range(3).select(F.raise_error(F.lit("stop")).alias("id")), "t", "gold")
+    assert spark.read.parquet(str(tmp_path / "out" / "gold" / "t")).count() == 3
+    assert [p.name for p in (tmp_path / "out" / "gold").iterdir()] == ["t"]
 
 
 def test_accounts_keep_current_versions_where_versions_exist(spark):

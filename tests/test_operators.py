@@ -1,4 +1,4 @@
-"""Operators on small frames, including the shuffled, skew-proof join paths."""
+"""Operators on small frames, with broadcast and with shuffled joins."""
 
 import random
 
@@ -6,9 +6,8 @@ import pytest
 from conftest import local_frame
 from pyspark.sql import functions as F
 
-from revmart.operators import lookups
 from revmart.operators.hierarchy import chain_depth, level_column, manager_chain, top_value, with_manager_flag
-from revmart.operators.lookups import Lookup, enrich, exists_flag, fits_broadcast, frequent_keys, value_map
+from revmart.operators.lookups import Lookup, duplicated_lookup_keys, enrich, exists_flag, value_map
 from revmart.operators.rollups import bridged_max, change_rollup, distinct_count_rollup, line_rollup
 from revmart.operators.unions import union_sources
 from revmart.operators.versions import current, first_per_key, latest_per_key, live
@@ -19,11 +18,10 @@ def rows(df):
 
 
 @pytest.fixture
-def no_broadcast(spark, monkeypatch):
-    """Force the shuffled path and slice keys that occur more than three times."""
+def no_broadcast(spark):
+    """Force shuffled joins."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(lookups, "ROWS_PER_SLICE", 3)
     yield
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -48,11 +46,13 @@ def test_current_drops_unknown(spark):
 
 def test_latest_per_key_ties_are_settled_by_content(spark):
     data = [("q", 1, None, "a"), ("q", 2, 5, "b"), ("q", 2, 5, "c"), ("q", None, 9, "z"), ("r", None, None, "d")]
-    expected = [("q", "c"), ("r", "d")]
+    expected, found = [("q", "c"), ("r", "d")], []
     for seed in range(3):
         random.Random(seed).shuffle(data)
         df = spark.createDataFrame(data, "k string, m int, c int, v string").repartition(3)
-        assert rows(latest_per_key(df, "k", ("m", "c")).select("k", "v")) == expected
+        found.append(rows(latest_per_key(df, "k", ("m", "c")).select("k", "v")))
+        assert "named_struct" not in plan_of(latest_per_key(df, "k", ("m", "c")))
+    assert found[0] == found[1] == found[2] and found[0][0][1] in ("b", "c") and found[0][1] == ("r", "d")
     assert rows(latest_per_key(df, "k", ("m", "c"), tie="v").select("k", "v")) == expected
 
 
@@ -88,7 +88,6 @@ def both_lookups(spark):
     return enrich(
         skewed_fact(spark),
         [Lookup(dim, "fk", "pk", {"name": "first"}), Lookup(dim, "other_fk", "pk", {"name": "second"})],
-        row_key="row_id",
     )
 
 
@@ -114,36 +113,17 @@ def test_large_lookup_gives_the_same_rows(spark, no_broadcast):
     assert "SortMergeJoin" in plan_of(df)
 
 
-def test_frequent_keys_are_counted_per_column(spark):
-    found = {(r.column_name, r.key): r.slices for r in frequent_keys(skewed_fact(spark), ["fk", "other_fk"], 60).collect()}
-    assert found == {("fk", "hot"): 2, ("other_fk", "hot"): 3, ("other_fk", "k5"): 3}
-
-
-def test_hot_and_missing_keys_are_spread(spark, no_broadcast):
-    hot = frequent_keys(skewed_fact(spark), ["fk"], 10)
-    sliced = lookups.slice_rows(skewed_fact(spark), "fk", "row_id", hot)
-    per_key = {r.fk: r.n for r in sliced.groupBy("fk").agg(F.count_distinct("_slice").alias("n")).collect()}
-    assert per_key["hot"] == 10 and per_key[None] > 80 and per_key["k5"] == 1
-    repeated = lookups.repeat_side(dimension(spark), "pk", hot)
-    copies = {r.pk: r["count"] for r in repeated.groupBy("pk").count().collect()}
-    assert copies["hot"] == 10 and copies["k2"] == 1
-
-
-def test_broadcast_threshold_is_the_sessions(spark):
-    df = local_frame(spark, [(i,) for i in range(10)], "id bigint")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        for text, fits in (("10MB", True), ("-1", False), ("1", False), ("8k", True), ("10485760b", True)):
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
-            assert fits_broadcast(df) is fits
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_duplicated_lookup_keys_are_reported(spark):
+    twice = dimension(spark).union(local_frame(spark, [("k2", "Again"), (None, "None")], "pk string, name string"))
+    sound = Lookup(dimension(spark), "other_fk", "pk", {"name": "second"})
+    found = duplicated_lookup_keys([Lookup(twice, "fk", "pk", {"name": "first"}), sound])
+    assert rows(found) == [("fk", "pk", "k2", 2)]
 
 
 def check_exists(spark):
     fact = skewed_fact(spark)
     keys = spark.createDataFrame([("hot",), ("hot",), ("k5",), (None,)], "opp string")
-    flagged = exists_flag(fact, keys, "fk", "opp", "found", "row_id")
+    flagged = exists_flag(fact, keys, "fk", "opp", "found")
     assert flagged.count() == 300
     assert {r.fk for r in flagged.where("found").collect()} == {"hot", "k5"}
     assert flagged.where("fk IS NULL AND found").count() == 0
@@ -214,7 +194,7 @@ def test_manager_chain_broadcast(spark, levels):
 
 
 @pytest.mark.parametrize("levels", [1, 2, 5, 7])
-def test_manager_chain_doubled(spark, no_broadcast, levels):
+def test_manager_chain_shuffled(spark, no_broadcast, levels):
     check_chain(spark, levels)
 
 

@@ -231,7 +231,7 @@ def train(texts: list[str], labels: list[int]) -> Machine:
     toxic = np.nonzero(evidence > EVIDENCE)[0]
     rest = np.nonzero((q > 0) & (evidence <= EVIDENCE))[0]
     rest = rest[np.argsort(-q[rest], kind="stable")]
-    rest = np.concatenate((rest[:10_000], rest[10_000 :: max(1, len(rest) // 20_000)]))
+    rest = np.concatenate((rest[:6000], rest[6000 :: max(1, len(rest) // 6000)]))
     if not len(toxic):
         toxic = order[: max(1, len(order) // 100)]
     examples = np.concatenate((toxic, rest))
@@ -266,7 +266,7 @@ def train(texts: list[str], labels: list[int]) -> Machine:
         target = np.concatenate((target, np.ones(len(inserted))))
         share = 0.5 * p[i] / max(1.0, p[toxic].sum()) / max(1, len(inserted))
         per_example = np.concatenate((per_example, np.full(len(inserted), share)))
-    blocks = [kernel(words[a : a + 4000]) @ root for a in range(0, len(words), 4000)]
+    blocks = [kernel(words[a : a + 1000]) @ root for a in range(0, len(words), 1000)]
     solved = _newton(np.vstack(blocks), target, per_example * len(words) / 2, True, 0.1)
     table = np.zeros(TABLE, np.float32)
     table[columns] = matrix @ (root @ solved[:-1])

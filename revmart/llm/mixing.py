@@ -84,12 +84,17 @@ def _crossing(sums: DataFrame, slice_col: str) -> DataFrame:
     )
 
 
+def _if_few(per_source: DataFrame) -> DataFrame:
+    """A stored table with at most a row per source, marked for broadcast if the rows are few."""
+    return F.broadcast(per_source) if per_source.count() <= BROADCAST_SOURCES else per_source
+
+
 def _ranked(docs: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
     """``docs`` (source, size, doc_id and others) with their source's plan, rank among the drawn, and slices of the ranking.
 
     The plan has a row per source; it is broadcast if these are few, else Spark chooses the join.
     """
-    side = F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
+    side = _if_few(plan)
     u = uniform(F.col("doc_id"), seed)
     odds = (u / (1 - u)) / (F.col("_mix.p") / (1 - F.col("_mix.p")))
     joined = docs.join(side, F.col("source").cast("string").eqNullSafe(F.col("_mix.source")), "inner")
@@ -121,7 +126,7 @@ def mixing_plan(docs: DataFrame, weights: Sequence[int], share: float, cap: floa
         F.sum("size").alias("words"), F.first("wanted").alias("wanted"), F.lit(0).cast("long").alias("base")
     )
     cut1 = cut_lineage(_crossing(first, "s1"))
-    in_first = drawn.join(cut1, "place").where("s1 = cut_s1")
+    in_first = drawn.join(_if_few(cut1), "place").where("s1 = cut_s1")
     second = in_first.groupBy("place", "s2").agg(
         F.sum("size").alias("words"), F.first("wanted").alias("wanted"), F.first("base").alias("base")
     )
@@ -130,7 +135,7 @@ def mixing_plan(docs: DataFrame, weights: Sequence[int], share: float, cap: floa
     before = F.coalesce(F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     last = (
         in_first.drop("base")
-        .join(cut2, "place")
+        .join(_if_few(cut2), "place")
         .where("s2 = cut_s2")
         .withColumn("inside", F.col("base") + before + F.col("size") / 2 <= F.col("wanted"))
         .where("inside")

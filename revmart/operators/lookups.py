@@ -1,11 +1,13 @@
 """Left-join enrichment: lookups, role-playing lookups, existence flags.
 
-Joins are declared plainly and no job runs while they are.  The planner and, from measured sizes, adaptive execution
-decide which sides are broadcast; adaptive execution splits the partitions of frequent and missing keys.
+No job runs while joins are declared.  A side is marked for broadcast when the planner's size estimate of the frames
+it comes from is within the session's ``spark.sql.autoBroadcastJoinThreshold``; any other join is left to the planner
+and to adaptive execution, which splits the partitions of frequent and missing keys.  Both ways give the same rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -14,14 +16,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
 @dataclass(frozen=True)
 class Lookup:
-    """Fetch ``attrs`` (lookup column -> alias) from ``dim`` where ``dim.pk`` equals ``fk``."""
+    """Fetch ``attrs`` (lookup column -> alias) from ``dim`` where ``dim.pk`` equals ``fk``.
+
+    ``sized_by`` names the frames ``dim`` was joined from; the planner multiplies the sizes
+    of join inputs, so their sum is the better estimate for a key-preserving join.
+    """
 
     dim: DataFrame
     fk: str
     pk: str
     attrs: Mapping[str, str]
+    sized_by: Sequence[DataFrame] = ()
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's broadcast threshold in bytes (-1 turns broadcasting off)."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text).groups()
+    return int(number) * _UNITS[unit]
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's size estimate of a frame."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(side: DataFrame, sized_by: Sequence[DataFrame] = ()) -> bool:
+    """Whether the frame's estimated size is within the session's broadcast threshold."""
+    return sum(estimated_bytes(f) for f in (sized_by or [side])) <= broadcast_limit(side)
 
 
 def enrich(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
@@ -30,6 +57,8 @@ def enrich(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     for i, step in enumerate(lookups):
         key = f"_lookup_key_{i}"
         side = step.dim.select(F.col(step.pk).alias(key), *[F.col(a).alias(b) for a, b in step.attrs.items()])
+        if fits_broadcast(side, step.sized_by):
+            side = F.broadcast(side)
         out = out.join(side, F.col(step.fk) == F.col(key), "left").drop(key)
     return out
 

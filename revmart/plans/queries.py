@@ -33,6 +33,7 @@ from revmart.sources.derived import DerivedInputs
 # A fixed load time makes results repeatable; quote numbers tell equally old versions apart.
 CFG = Config(as_of=datetime(2024, 1, 1), quote_tie="quote_number")
 
+# Published column names.
 # Portal columns shown as they are; the query results fold the others into one digest.
 PORTAL_SHOWN = (
     "vartopia_registration_id",
@@ -148,17 +149,20 @@ def priority_dedupe(f: Frames) -> DataFrame:
 # --- lookups ---------------------------------------------------------------------------
 
 
+# Published column names.
+ROLE_NAMES = (
+    "partner_account_name",
+    "distributor_account_name",
+    "internal_contact_name",
+    "partner_sales_rep_name",
+    "distributor_rep_name",
+    "opportunity_owner_name",
+    "opportunity_owner_rd_name",
+)
+
+
 def role_lookup(f: Frames) -> DataFrame:
-    return f["dim_deal_registration"].select(
-        "deal_registration_id",
-        "partner_account_name",
-        "distributor_account_name",
-        "internal_contact_name",
-        "partner_sales_rep_name",
-        "distributor_rep_name",
-        "opportunity_owner_name",
-        "opportunity_owner_rd_name",
-    )
+    return f["dim_deal_registration"].select("deal_registration_id", *ROLE_NAMES)
 
 
 def two_hop_lookup(f: Frames) -> DataFrame:
@@ -305,20 +309,23 @@ def line_rollup(f: Frames) -> DataFrame:
     return f["int_quote_lines"]
 
 
+# Published column names that only one system supplies.
+PADDED = (
+    "opportunity_owner_id",
+    "partner_sales_rep_id",
+    "add_teaming_partner",
+    "company",
+    "products_of_interest",
+    "customer_name",
+    "deal_name",
+    "is_registration_extended",
+    "reg_denied_date",
+)
+
+
 def null_padded_union(f: Frames) -> DataFrame:
     """How many values each system supplies to the columns only one of them has."""
-    padded = (
-        "opportunity_owner_id",
-        "partner_sales_rep_id",
-        "add_teaming_partner",
-        "company",
-        "products_of_interest",
-        "customer_name",
-        "deal_name",
-        "is_registration_extended",
-        "reg_denied_date",
-    )
-    counts = [F.count(c).alias(c) for c in padded]
+    counts = [F.count(c).alias(c) for c in PADDED]
     return f["dim_unified_deal_registration"].groupBy("source_system").agg(F.count("*").alias("n_rows"), *counts)
 
 

@@ -39,7 +39,7 @@ from revmart.llm.common import text_of
 #: Fixed value: the published pre-tokenizer pattern of byte-level BPE.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: White space and control characters other than space and line feed: texts with them take the pattern's way.
-ODD_SPACE = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  　﻿]|  |\n\n| \n|\n ")
+ODD_SPACE = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u3000\ufeff]|  |\n\n| \n|\n ")
 BLOCK = 1 << 16  # characters read at a time
 WINDOW = 1024  # bytes of a run that are merged at a time, besides the lookahead
 REMEMBERED = 1 << 18  # parts remembered per worker

@@ -1,14 +1,17 @@
 """Surrogates for personal data: keyed, of the same type and form, distinct and consistent.
 
-Found are e-mail addresses, phone numbers, IPv4 addresses, card numbers, social security numbers, secrets (quoted after a
-word like token, or long hexadecimal strings) and the names after a title.
+Found are e-mail addresses, phone numbers (international, with an area code in parentheses, in groups of three, three and
+four digits, or with a leading 0), IPv4 addresses, card numbers, social security numbers, secrets (after a word like token
+and = or :, quoted or not; long hexadecimal strings; tokens with a known prefix), the names after a title, and every
+other capitalised mention of those names in the same document.
 
 A surrogate is a keyed permutation of the characters' places in their alphabets (a Feistel network over symbols of
 different radix): a digit stays a digit, a letter a letter of its script and case, an octet an octet of as many digits,
 a card number keeps its check digit right or wrong, country codes and top-level domains stay.  So different values of
-one form always get different surrogates, and a value gets the same one everywhere, whatever its case.  Names are
-built from syllables of their script; given names end as their title's gender asks, family names as they would
-for either.
+one form always get different surrogates.  A value gets the same one everywhere: addresses, names and hexadecimal
+strings are compared in small letters, phone, card and social security numbers by their digits (and a leading +), and each
+occurrence gets its own case and separators back.  Names are built from syllables of their script; given names end as
+their title's gender asks, family names as they would for either.
 
 *Collision checks.* All values of the corpus are compared with all surrogates.  A surrogate that equals a value that occurs,
 or that two values share (names), is drawn again with the next number, the smaller value going first, until none is
@@ -59,19 +62,36 @@ SYLLABLES = {
 WORD_CHAR = r"[\w.%+-]"
 EMAIL = re.compile(rf"(?<!{WORD_CHAR}){WORD_CHAR}+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{{2,}}")
 NUMBERS = re.compile(
-    r"(?P<phone>(?<![\w+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
-    r"|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
+    r"(?P<phone>(?<![\w+])(?:\+?\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
+    r"|(?<![\w+])\+\d{7,15}(?!\d)"
+    r"|(?<![\w+])\+\d{1,3}[ ./-]?\(\d{1,4}\)(?:[ ./-]?\d{2,8}){1,4}(?!\d)"
+    r"|(?<![\w+])\+\d{1,3}[ ./-]\d{1,8}(?:[ ./-]\d{2,8}){1,4}(?!\d)"
+    r"|(?<![\w.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])"
+    r"|(?<![\w.+-])0\d{1,4}[ /-]\d{5,8}(?![\w-])|(?<![\w.+-])0\d(?:[ .]\d{2}){4}(?![\w-]))"
     r"|(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))"
 )
 SECRET = re.compile(
-    r"(?:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*[\"'](?P<quoted>[^\"'\s]{8,256})[\"']"
+    r"(?:token|secret|password|passwd|api[_-]?key)[\"']?\s*[=:]\s*"
+    r"(?:(?P<mark>[\"'])(?P<quoted>(?:(?!(?P=mark))[^\r\n])+)(?P=mark)|[\"']?(?P<bare>[^\s\"'<>&,;]{3,}))"
     r"|(?<![0-9A-Za-z])(?P<hex>[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
     re.IGNORECASE,
 )
+#: Tokens known by their prefix, which stays.
+PREFIXED = re.compile(
+    r"(?<![0-9A-Za-z_-])(?:(?:AKIA|ASIA)(?P<upper>[0-9A-Z]{16})|(?:gh[pousr]_|sk[-_](?:live_|test_)?|xox[abprs]-|[Bb]earer )(?P<rest>[\w.~+/-]{16,}))"
+)
+# The world's country codes by their first digits.
+COUNTRY = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3})|")
 LETTERS = r"[^\W\d_]"
-NAME = re.compile(rf"(?<!\w)(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? (?P<one>{LETTERS}+)(?: (?P<two>{LETTERS}+))?")
+#: Letters, with apostrophes and hyphens between them; an 's at the end is not the name's.
+NAME_WORD = rf"{LETTERS}+(?:(?!['’]s(?!\w))['’-]{LETTERS}+)*"
+NAME = re.compile(
+    rf"(?<!\w)(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? (?:{LETTERS}\. )*(?P<one>{NAME_WORD})"
+    rf"(?: (?:{LETTERS}\. )*(?P<two>{NAME_WORD}))?(?: (?P<three>{NAME_WORD}))?"
+)
+MENTION = re.compile(rf"(?<!\w){NAME_WORD}")
 
 
 @dataclass(frozen=True)
@@ -85,9 +105,41 @@ class Entity:
     shown: str
 
 
-def folded(text: str) -> str:
-    """Values in capitals count as the same value in small letters; mixed ones as they are."""
-    return text.lower() if text == text.upper() and len(text.lower()) == len(text) else text
+def lowered(text: str) -> str:
+    """The text in small letters, character by character; those without one of their own stay."""
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def folded(kind: str, text: str) -> str:
+    """The value of a text of this kind, the same for all its forms."""
+    if kind in ("phone", "card", "ssn"):
+        return "+" * text.startswith("+") + "".join(c for c in text if c.isdigit())
+    if kind == "email" or kind.startswith("name-") or set(lowered(text)) <= set(HEX):
+        return lowered(text)
+    return lowered(text) if text == text.upper() else text
+
+
+def restored(kind: str, shown: str, value: str, made: str) -> str:
+    """The surrogate ``made`` of ``value`` in the form in which the value is shown."""
+    if kind in ("phone", "card", "ssn"):
+        digits = [c for c in made if c.isdigit()]
+        places = [i for i, c in enumerate(shown) if c.isdigit()]
+        out = list(shown)
+        for i, d in zip(places, digits):
+            out[i] = d
+        out[places[-1]] += "".join(digits[len(places) :])
+        return "".join(out)
+    upper = lambda t: "".join(c.upper() if len(c.upper()) == 1 else c for c in t)
+    if kind.startswith("name-"):
+        return upper(made) if len(shown) > 1 and shown == shown.upper() else upper(made[0]) + made[1:]
+    if shown == value:
+        return made
+    if shown == upper(shown):
+        return upper(made)
+    more = len(made) - len(shown)  # characters that a later draw put before the @ or at the end
+    at = shown.index("@") if kind == "email" else len(shown)
+    shape = shown[:at] + " " * more + shown[at:]
+    return "".join(upper(c) if k.isupper() else c for c, k in zip(made, shape))
 
 
 def script_of(text: str) -> str:
@@ -95,27 +147,55 @@ def script_of(text: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
 
 
+def _names(text: str) -> list[Entity]:
+    """Names after a title, and all mentions of their words; the last word is the family name, those before are given."""
+    found: list[Entity] = []
+    known: dict[str, str] = {}  # a word's kind where no title tells: given names first
+    places = set()
+    for m in NAME.finditer(text):
+        words = []
+        for g in ("one", "two", "three"):
+            if not m[g] or not m[g][0].isupper():
+                break
+            words.append(g)
+        for i, group in enumerate(words):
+            word, last = m[group], i == len(words) - 1
+            kind = f"name-{script_of(word)}-{'' if last else TITLES[m['title']]}"
+            found.append(Entity(m.start(group), m.end(group), kind, lowered(word), word))
+            places.add(m.start(group))
+            if not last or lowered(word) not in known:
+                known[lowered(word)] = kind
+    if found:
+        for m in MENTION.finditer(text):
+            # A word with a hyphen that is no name itself may have one as a part.
+            spans = [m.span()] if lowered(m[0]) in known else [(m.start() + p.start(), m.start() + p.end()) for p in re.finditer(rf"{LETTERS}+", m[0])]
+            for a, b in spans:
+                word = text[a:b]
+                if a not in places and word[0].isupper() and lowered(word) in known:
+                    found.append(Entity(a, b, known[lowered(word)], lowered(word), word))
+    return found
+
+
 def find_entities(text: str) -> list[Entity]:
     """Entities from left to right; of overlapping ones the first found kind stays."""
     found: list[Entity] = []
-    add = lambda a, b, kind: found.append(Entity(a, b, kind, folded(text[a:b]), text[a:b]))
+    add = lambda a, b, kind: found.append(Entity(a, b, kind, folded(kind, text[a:b]), text[a:b]))
     if "@" in text:
         for m in EMAIL.finditer(text):
             add(m.start(), m.end(), "email")
-    if re.search(r"[0-9]", text) or '"' in text or "'" in text:
-        for m in SECRET.finditer(text):
-            group = "quoted" if m["quoted"] else "hex"
-            add(m.start(group), m.end(group), "secret")
+    for m in SECRET.finditer(text):
+        group = next(g for g in ("quoted", "bare", "hex") if m[g])
+        end = m.end(group) - (len(m[group]) - len(m[group].rstrip(".!?:)]}")) if group == "bare" else 0)
+        if end > m.start(group):
+            add(m.start(group), end, "secret")
+    for m in PREFIXED.finditer(text):
+        add(m.start(m.lastgroup), m.end(m.lastgroup), "secret")
+    if re.search(r"[0-9]", text):
         for m in NUMBERS.finditer(text):
             if m.lastgroup != "ip" or all(int(x) < 256 and x == str(int(x)) for x in m[0].split(".")):
                 add(m.start(), m.end(), m.lastgroup)
     if any(title in text for title in TITLES):
-        for m in NAME.finditer(text):
-            words = [(g, m[g]) for g in ("one", "two") if m[g] and m[g][0].isupper() and m[g][1:] == m[g][1:].lower()]
-            if words and words[0][0] == "one":
-                for i, (group, word) in enumerate(words):
-                    gender = TITLES[m["title"]] if i == 0 and len(words) == 2 else ""
-                    found.append(Entity(m.start(group), m.end(group), f"name-{script_of(word)}-{gender}", word.lower(), word))
+        found += _names(text)
     kept: list[Entity] = []
     for e in sorted(found, key=lambda e: (e.start, -e.end)):
         if not kept or e.start >= kept[-1].end:
@@ -171,7 +251,7 @@ def _email(value: str, key: bytes, tweak: str) -> str:
 
 
 def _phone(value: str, key: bytes, tweak: str) -> str:
-    country = re.match(r"\+\d{1,3}|", value).end()
+    country = COUNTRY.match(value).end()
     alphabets = [None if i < country else a for i, a in enumerate(_usual(value))]
     return _by_alphabet(value, alphabets, key, tweak)
 
@@ -232,10 +312,7 @@ def rewrite(text: str, key: bytes, draws: dict[tuple[str, str], int]) -> tuple[s
     out, at = [], 0
     for e in found:
         new = surrogate(e.kind, e.value, key, draws.get((e.kind, e.value), 0))
-        if e.kind.startswith("name-"):
-            new = new[0].upper() + new[1:]
-        elif e.value != e.shown:
-            new = new.upper()
+        new = restored(e.kind, e.shown, e.value, new)
         out += [text[at : e.start], new]
         at = e.end
     return "".join([*out, text[at:]]), len(found)

@@ -15,7 +15,9 @@ their title's gender asks, family names as they would for either.
 
 *Collision checks.* All values of the corpus are compared with all surrogates.  A surrogate that equals a value that occurs,
 or that two values share (names), is drawn again with the next number, the smaller value going first, until none is
-left.  Only such exceptions are looked up when texts are rewritten; the others follow from the key.
+left.  Draws from ``OWN_FORM`` on make the value longer by one more character each (addresses of four octets: with octets of
+any length), so full forms give way to ones with room.  Should values still be left after ``MOST_DRAWS`` draws, that is an
+error.  Only such exceptions are looked up when texts are rewritten; the others follow from the key.
 
 Defined cases: a null text stays null and has no entities; an empty text stays empty; repeated rows are
 rewritten alike, rows with equal or null ``doc_id`` too; an empty table gives an empty result; other columns are kept
@@ -26,8 +28,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +41,8 @@ from revmart.llm.common import stored
 from revmart.operators.lineage import cut_lineage
 
 ROUNDS = 6
-MOST_DRAWS = 64
+#: Draws within a value's own form; draws at which the rounds give up with an error.
+OWN_FORM, MOST_DRAWS = 12, 256
 
 # Titles that come before a name, and the gender they tell.
 TITLES = {
@@ -203,6 +208,21 @@ def find_entities(text: str) -> list[Entity]:
     return kept
 
 
+@lru_cache(maxsize=1 << 12)
+def alphabet_of(c: str) -> str | None:
+    """The alphabet of a character: one of ``ALPHABETS``, or the like characters of its block of 256; None for signs."""
+    if c in PLACE:
+        return PLACE[c][0]
+    kind = unicodedata.category(c)
+    if kind not in ("Ll", "Lu", "Lt", "Lo", "Lm", "Nd", "Nl", "No"):
+        return None
+    single = lambda x: len(x.lower()) == len(x.upper()) == 1 and x.lower().upper().lower() == x.lower()
+    like = lambda x: unicodedata.category(x) == kind and x not in PLACE and (single(x), x.lower() == x, x.upper() == x) == own
+    own = (single(c), c.lower() == c, c.upper() == c)
+    block = ord(c) & ~0xFF
+    return "".join(x for x in map(chr, range(block, block + 256)) if like(x))
+
+
 def permute(symbols: list[int], radices: list[int], key: bytes, tweak: str) -> list[int]:
     """A keyed permutation of the vectors of symbols below their radices."""
     out, half = list(symbols), len(symbols) // 2
@@ -217,8 +237,16 @@ def permute(symbols: list[int], radices: list[int], key: bytes, tweak: str) -> l
     return out
 
 
-def _by_alphabet(value: str, alphabets: list[str | None], key: bytes, tweak: str) -> str:
-    """Permute the characters that have an alphabet; the others stay."""
+def _more(draw: int) -> int:
+    """Number of characters that a draw adds."""
+    return max(0, draw - OWN_FORM + 1)
+
+
+def _by_alphabet(value: str, alphabets: list[str | None], key: bytes, tweak: str, more: int = 0) -> str:
+    """Permute the characters that have an alphabet; the others stay.  ``more`` characters like the last one are added."""
+    if more:
+        last = next((a for a in reversed(alphabets) if a and len(a) > 1), ALPHABETS[1])
+        value, alphabets = value + last[0] * more, alphabets + [last] * more
     places = [i for i, a in enumerate(alphabets) if a]
     radices = [len(alphabets[i]) for i in places]
     form = "".join(c if not a else a[0] for c, a in zip(value, alphabets))
@@ -230,7 +258,7 @@ def _by_alphabet(value: str, alphabets: list[str | None], key: bytes, tweak: str
 
 
 def _usual(value: str) -> list[str | None]:
-    return [PLACE[c][0] if c in PLACE else None for c in value]
+    return [alphabet_of(c) for c in value]
 
 
 def check_digit(digits: list[int]) -> int:
@@ -239,7 +267,7 @@ def check_digit(digits: list[int]) -> int:
     return -sum(doubled) % 10
 
 
-def _email(value: str, key: bytes, tweak: str) -> str:
+def _email(value: str, key: bytes, tweak: str, draw: int) -> str:
     name, host = value.split("@")
     labels = host.split(".")
     new_host = [_by_alphabet(x, _usual(x), key, "host") for x in labels[:-2]] or []
@@ -247,41 +275,39 @@ def _email(value: str, key: bytes, tweak: str) -> str:
         new_host.append(_by_alphabet(labels[-2], _usual(labels[-2]), key, "domain"))
     else:
         new_host.append(labels[-2])
-    return f"{_by_alphabet(name, _usual(name), key, tweak + '|' + host)}@{'.'.join([*new_host, labels[-1]])}"
+    return f"{_by_alphabet(name, _usual(name), key, tweak + '|' + host, _more(draw))}@{'.'.join([*new_host, labels[-1]])}"
 
 
-def _phone(value: str, key: bytes, tweak: str) -> str:
+def _phone(value: str, key: bytes, tweak: str, draw: int) -> str:
     country = COUNTRY.match(value).end()
     alphabets = [None if i < country else a for i, a in enumerate(_usual(value))]
-    return _by_alphabet(value, alphabets, key, tweak)
+    return _by_alphabet(value, alphabets, key, tweak, _more(draw))
 
 
-def _ip(value: str, key: bytes, tweak: str) -> str:
+def _ip(value: str, key: bytes, tweak: str, draw: int) -> str:
     octets = value.split(".")
+    if _more(draw):
+        return ".".join(map(str, permute([int(x) for x in octets], [256] * 4, key, tweak)))
     first = [(0, 10, 100)[len(x) - 1] for x in octets]
     radices = [(10, 90, 156)[len(x) - 1] for x in octets]
     new = permute([int(x) - f for x, f in zip(octets, first)], radices, key, f"{tweak}|{[len(x) for x in octets]}")
     return ".".join(str(f + s) for f, s in zip(first, new))
 
 
-def _card(value: str, key: bytes, tweak: str) -> str:
-    places = [i for i, c in enumerate(value) if c.isdigit()]
-    digits = [int(value[i]) for i in places]
-    form = re.sub(r"\d", "0", value)
-    new = permute(digits[:-1], [10] * (len(digits) - 1), key, f"{tweak}|{form}")
+def _card(value: str, key: bytes, tweak: str, draw: int) -> str:
+    digits = [int(c) for c in value]
+    body = digits[:-1] + [0] * _more(draw)
+    new = permute(body, [10] * len(body), key, f"{tweak}|{len(digits)}")
     new.append((check_digit(new) + digits[-1] - check_digit(digits[:-1])) % 10)
-    out = list(value)
-    for i, d in zip(places, new):
-        out[i] = str(d)
-    return "".join(out)
+    return "".join(map(str, new))
 
 
-def _secret(value: str, key: bytes, tweak: str) -> str:
-    return _by_alphabet(value, [HEX] * len(value) if set(value) <= set(HEX) else _usual(value), key, tweak)
+def _secret(value: str, key: bytes, tweak: str, draw: int) -> str:
+    return _by_alphabet(value, [HEX] * len(value) if set(value) <= set(HEX) else _usual(value), key, tweak, _more(draw))
 
 
-def _plain(value: str, key: bytes, tweak: str) -> str:
-    return _by_alphabet(value, _usual(value), key, tweak)
+def _plain(value: str, key: bytes, tweak: str, draw: int) -> str:
+    return _by_alphabet(value, _usual(value), key, tweak, _more(draw))
 
 
 def _name(kind: str, value: str, key: bytes, draw: int) -> str:
@@ -294,7 +320,7 @@ def _name(kind: str, value: str, key: bytes, draw: int) -> str:
     return made[:-1] + ending if gender == "f" or ending[0] in vowels else made + ending
 
 
-MAKERS: dict[str, Callable[[str, bytes, str], str]] = {
+MAKERS: dict[str, Callable[[str, bytes, str, int], str]] = {
     "email": _email, "phone": _phone, "ip": _ip, "card": _card, "ssn": _plain, "secret": _secret,
 }
 
@@ -303,7 +329,7 @@ def surrogate(kind: str, value: str, key: bytes, draw: int = 0) -> str:
     """The surrogate of a folded value; ``draw`` numbers further ones."""
     if kind.startswith("name-"):
         return _name(kind, value, key, draw)
-    return MAKERS[kind](value, key, f"{kind}|{draw}")
+    return MAKERS[kind](value, key, f"{kind}|{draw}", draw)
 
 
 def rewrite(text: str, key: bytes, draws: dict[tuple[str, str], int]) -> tuple[str, int]:
@@ -354,7 +380,7 @@ def exceptions(found: DataFrame, key: bytes) -> DataFrame:
     values = cut_lineage(found.select("kind", "value").distinct())
     taken = values.select(kinds.alias("class"), F.col("value").alias("taken")).distinct()
     now = _drawn(values.withColumn("draw", F.lit(0)), key)
-    for _ in range(MOST_DRAWS):
+    for draws in range(MOST_DRAWS + 1):
         now = cut_lineage(now.withColumn("class", kinds))
         first = now.groupBy("class", "made").agg(F.min(F.struct("draw", "value", "kind")).alias("first"), F.count("*").alias("n"))
         shared = first.where("n > 1").select("class", "made", "first")
@@ -366,6 +392,8 @@ def exceptions(found: DataFrame, key: bytes) -> DataFrame:
         marked = cut_lineage(marked)
         if marked.where("again").isEmpty():
             break
+        if draws == MOST_DRAWS:
+            raise ValueError(f"surrogates still collide after {MOST_DRAWS} draws")
         redrawn = _drawn(marked.where("again").withColumn("draw", F.col("draw") + 1), key)
         now = marked.where("NOT again").drop("again").union(redrawn)
     return marked.where("draw > 0").select("kind", "value", "draw")

@@ -229,3 +229,23 @@ def test_mentions_without_a_title_get_the_name_s_surrogate():
     made = new.split()[0]
     assert n == 7 and new.count(made) == 4 and new.count(made.upper()) == 1 and "Smith" not in new and "John" not in new
     assert f"{made}-Jones" in new and "smith and Blacksmith." in new
+
+
+def test_full_forms_and_other_alphabets_get_distinct_surrogates(spark):
+    values = [f'token = "{c}"' for c in pii.HEX] + [f"{i}.{j}.7.7" for i in range(10) for j in range(3)]
+    values += ["ąęłżść@x.com", "日本@x.com", "سلام@x.com", "%%@x.com", "ŁÓDŹ@x.com"]
+    frame = local_frame(spark, [(i, f"see {v} now") for i, v in enumerate(values)], "doc_id long, text string")
+    got = [r["text"] for r in pii.replace_entities(frame, "x").orderBy("doc_id").collect()]
+    assert len(set(got)) == len(got) and not set(got) & {f"see {v} now" for v in values}
+    for text, value in zip(got, values):
+        assert [e.kind for e in pii.find_entities(text)] == ["email" if "@" in value else "secret" if "token" in value else "ip"]
+    for value in ("ąęłżść@x.com", "日本@x.com", "سلام@x.com"):
+        made = pii.surrogate("email", value, b"k" * 32)
+        assert len(made) == len(value) and [pii.alphabet_of(c) for c in made] == [pii.alphabet_of(c) for c in value] and made[:2] != value[:2]
+
+
+def test_values_left_after_all_draws_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MOST_DRAWS", 1)
+    frame = local_frame(spark, [(i, f'token = "{c}"') for i, c in enumerate(pii.HEX)], "doc_id long, text string")
+    with pytest.raises(ValueError, match="collide"):
+        pii.replace_entities(frame, "x")

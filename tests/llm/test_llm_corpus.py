@@ -226,3 +226,16 @@ def test_pipeline_on_awkward_tables(spark, tmp_path, rows):
     done = corpus_pipeline.run(spark, str(tmp_path))
     assert done.where("NOT round_trip").count() == 0
     assert done.count() > 0 if rows == "awkward" else done.count() == 0
+
+
+@pytest.mark.parametrize("held", [3, 1 << 18])
+def test_frequent_words_do_not_depend_on_the_partitions(spark, monkeypatch, held):
+    # "thin" is seen once by every task, after more frequent words that only this task has.
+    monkeypatch.setattr(maxent, "HELD", held)
+    monkeypatch.setattr(maxent, "HEAD", 4)
+    monkeypatch.setattr(maxent, "PROPOSED", 2, raising=False)
+    texts = [" ".join([f"own{i} also{i} more{i}"] * 3) + " Thin" for i in range(12)]
+    want = [(b"thin", 12), (b"also0", 3), (b"also1", 3), (b"also10", 3)]
+    frame = local_frame(spark, [(t,) for t in texts], "text string")
+    for parts in (1, 12):
+        assert maxent._frequent_words(frame.repartitionByRange(parts, "text")) == want

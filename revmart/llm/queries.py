@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmart.llm.bpe import round_trip_digests
+from revmart.llm.clusters import CLUSTERS_SQL, cluster_vectors
 from revmart.llm.common import read_table
 from revmart.llm.embeddings import near_vectors
 from revmart.llm.maxent import score_documents
 from revmart.llm.mixing import MIX_SQL, mix_sources
+from revmart.llm.negatives import NEGATIVES_SQL, mine_negatives
 from revmart.llm.pii import replace_entities
 from revmart.llm.repeats import remove_repeats
 from revmart.llm.search import search
@@ -84,6 +86,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster_vectors(read_table(spark, sf_dir, "embeddings"), k=8, dim=64, scale=1024, rounds=10, seed=3)
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, sf_dir, "embeddings").withColumn("label", moved.cast("int"))
+    return mine_negatives(vectors, "vec_id % 50 = 0", positives=5, negatives=3, low=50, high=95, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_search": op1_search,
     "op2_bpe": op2_bpe,
@@ -95,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_embeddings": op9_embeddings,
     "op10_sharding": op10_sharding,
+    "op12_clusters": op12_clusters,
+    "op13_negatives": op13_negatives,
 }
 
-SQL: dict[str, str] = {"op7_source_mix": MIX_SQL}
+SQL: dict[str, str] = {"op7_source_mix": MIX_SQL, "op12_clusters": CLUSTERS_SQL, "op13_negatives": NEGATIVES_SQL}

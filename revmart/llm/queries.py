@@ -12,6 +12,7 @@ from revmart.llm.bpe import round_trip_digests
 from revmart.llm.clusters import CLUSTERS_SQL, cluster_vectors
 from revmart.llm.common import read_table
 from revmart.llm.embeddings import near_vectors
+from revmart.llm.licenses import scan_licenses
 from revmart.llm.maxent import score_documents
 from revmart.llm.mixing import MIX_SQL, mix_sources
 from revmart.llm.negatives import NEGATIVES_SQL, mine_negatives
@@ -86,6 +87,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = scan_licenses(read_table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda x: x["base"])
+    starts = F.transform(base, lambda x: x["first"].cast("long"))
+    labels = lambda finds: F.array_join(F.array_sort(F.array_distinct(F.transform(finds, lambda x: x["label"]))), ",")
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("found")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda x: x["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cluster_vectors(read_table(spark, sf_dir, "embeddings"), k=8, dim=64, scale=1024, rounds=10, seed=3)
     digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
@@ -109,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_embeddings": op9_embeddings,
     "op10_sharding": op10_sharding,
+    "op11_licenses": op11_licenses,
     "op12_clusters": op12_clusters,
     "op13_negatives": op13_negatives,
 }

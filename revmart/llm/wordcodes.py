@@ -36,10 +36,10 @@ def powers(base: int, n: int, inverse: bool = False) -> np.ndarray:
     return _powers(pow(base, -1, 1 << 64) if inverse else base, size)[:n]
 
 
-def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every word in UTF-8 bytes."""
+def spans(data: np.ndarray, is_gap: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word in UTF-8 bytes; ``is_gap`` tells for every byte whether it separates words."""
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~IS_SPACE[data]
+    inside[1:-1] = ~is_gap[data]
     change = np.diff(inside)
     return np.nonzero(change == 1)[0], np.nonzero(change == -1)[0]
 

@@ -10,7 +10,8 @@ wins; a new centroid is the componentwise floor of its vectors' mean; an empty o
    ``d(x, c) >= |d(x, p) d(c, s) - d(x, s) d(c, p)| / d(p, s)``.  The centroid of the smallest bound is measured first;
    another one is measured only if its bound does not exceed that.  Bounds are rounded down by far more
    than doubles can err, so that no nearer centroid and no tie is lost.
-3. Tasks return sums per cluster and component, added up by Spark without overflow: ``k * components`` numbers reach the driver.
+3. Every task adds its vectors up per cluster and component, without overflow, in one row of ``k * components`` numbers.  Beyond
+   ``FEW_TASKS`` rows other tasks add these up first, so that no more than the root of their number reach the driver.
    Rounds end early where no centroid moves, as further ones would change nothing.
 
 Seeds are the ``k`` vectors with the smallest digest of ``<seed>:<vec_id>``.
@@ -23,7 +24,8 @@ are ignored, whatever their names.  Components saturate at 2**62, distances and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from decimal import Decimal
 from itertools import combinations
@@ -39,6 +41,9 @@ from revmart.llm.vectors import TOP, exact, matrix, most, usable, whole_numbers
 #: Vectors the pivots are chosen from, and how many are chosen.
 SAMPLE = 64
 PIVOTS = 6
+#: Rows of sums that may go to the driver (some 8 kB each) without being added up before.
+FEW_TASKS = 64
+SUMS = "sums array<decimal(38,0)>"
 #: Relative slack of a bound; doubles err by some 2**-50 of the products here.
 SLACK = 2.0**-40
 
@@ -159,19 +164,32 @@ def round_sums(table: DataFrame, centroids: np.ndarray, pivots: Pivots) -> tuple
                 counts[c] += rows.sum()
                 sums[c, :dim] += wide[rows].sum(axis=0).astype(object)
                 sums[c, dim] += sum(min(d, TOP) for d in best[rows].tolist())
-        used = np.nonzero(counts)[0]
-        out = [np.repeat(used, dim + 1), np.tile(np.arange(dim + 1), len(used)), np.repeat(counts[used], dim + 1)]
-        arrays = [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64())]
-        totals = pa.array([Decimal(int(v)) for v in sums[used].ravel()], pa.decimal128(38, 0))
-        yield pa.RecordBatch.from_arrays([*arrays, totals], ["cluster", "place", "n", "total"])
-
-    parts = table.select("parts", "far").mapInArrow(run, "cluster int, place int, n bigint, total decimal(38,0)")
-    sums = np.zeros((k, dim + 1), object)
-    counts = [0] * k
-    for row in parts.groupBy("cluster", "place").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).toLocalIterator():
-        sums[row["cluster"], row["place"]] = int(row["total"])
-        counts[row["cluster"]] = row["n"]
-    return sums[:, :dim], counts, sums[:, dim].tolist()
+        yield _sums_row(np.concatenate((counts.astype(object), sums.ravel())))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = _added(row for batch in batches for row in batch.column(0).to_pylist())
+        if total is not None:
+            yield _sums_row(total)
+
+    parts = table.select("parts", "far").mapInArrow(run, SUMS)
+    tasks = parts.rdd.getNumPartitions()
+    if tasks > FEW_TASKS:
+        parts = parts.repartition(math.isqrt(tasks)).mapInArrow(add, SUMS)
+    total = _added(r["sums"] for r in parts.collect())
+    sums = total[k:].reshape(k, dim + 1)
+    return sums[:, :dim], total[:k].tolist(), sums[:, dim].tolist()
+
+
+def _sums_row(sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([[Decimal(int(v)) for v in sums]], pa.list_(pa.decimal128(38, 0)))], ["sums"])
+
+
+def _added(rows: Iterable[list[Decimal]]) -> np.ndarray | None:
+    total = None
+    for row in rows:
+        numbers = np.array([int(v) for v in row], object)
+        total = numbers if total is None else total + numbers
+    return total
 
 
 def _far(column: pa.Array, pivots: Pivots) -> np.ndarray:

@@ -74,6 +74,13 @@ def test_clusters_against_plain_rounds(spark, k, rounds, scale):
     assert got == sorted(plain_clusters(rows, k, 4, scale, rounds, 3), key=lambda r: (r[0], r[1] or 0, r[2:]))
 
 
+def test_sums_of_many_tasks_are_added_up_in_between(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "FEW_TASKS", 1)
+    rows = vector_rows()
+    got = got_clusters(clusters.cluster_vectors(frame(spark, rows).repartition(9), 8, 4, 1024, 10))
+    assert got == sorted(plain_clusters(rows, 8, 4, 1024, 10, 3), key=lambda r: (r[0], r[1] or 0, r[2:]))
+
+
 def test_clusters_of_huge_components(spark):
     rng = random.Random(3)
     rows = [(i, [rng.uniform(-1, 1) * 10.0 ** rng.choice([0, 5, 9, 13, 30, 300]) for _ in range(4)], 0) for i in range(60)]

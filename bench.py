@@ -36,6 +36,10 @@ HEADLINE = (
     "dim_quote",
     "fct_quote",
     "dq_relationships",
+    "dq_row_rules",
+    "dq_unique",
+    "dq_reconciliation",
+    "dq_scorecard",
 )
 
 

@@ -5,40 +5,19 @@ from __future__ import annotations
 import re
 from functools import cache
 
+from oracle.checks import report
 from oracle.parts import (
     OPPORTUNITY_RULES,
     PARTS,
     PRODUCT_RULES,
     RCA_RULES,
+    amount,
     cpq_rules,
     digest,
 )
-from revmart.operators.quality import (
-    ACCEPTED_VALUES,
-    EXPRESSION,
-    NOT_NULL,
-    RELATIONSHIP,
-    ROW_COUNT,
-    UNIQUE,
-    UNIQUE_COMBINATION,
-    Rule,
-)
 from revmart.plans import contracts
-from revmart.plans.checks import all_rules
-from revmart.plans.queries import CFG, PORTAL_NAMES_SHOWN, PORTAL_SHOWN
-
-MODEL_PARTS = {
-    "stg_deal_registration": "stg_legacy",
-    "stg_vartopia_deal_registration": "stg_portal",
-    "dim_user": "dim_user",
-    "dim_deal_registration": "dim_legacy",
-    "dim_vartopia_deal_registration": "dim_portal",
-    "dim_unified_deal_registration": "dim_unified",
-    "dim_opportunity": "dim_opportunity",
-    "dim_product": "dim_product",
-    "dim_quote_unified": "dim_quote",
-    "fct_quote_unified": "fct_quote",
-}
+from revmart.plans.queries import CFG, OBSERVED, PORTAL_NAMES_SHOWN, PORTAL_SHOWN, UNIFIED_SHOWN
+from revmart.sources.derived import TEST_TABLES
 
 _WORD = re.compile(r"\b[a-z]\w*\b")
 
@@ -66,47 +45,6 @@ def with_parts(select: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({PARTS[n].strip()})" for n in ordered) + "\n" + select
 
 
-def _part(model: str) -> str:
-    return MODEL_PARTS.get(model, f"raw_{model}")
-
-
-def _failures(rule: Rule) -> str:
-    """Failures of one rule, one scan per rule."""
-    relation, where = _part(rule.model), rule.where or "TRUE"
-    if rule.kind == NOT_NULL:
-        return f"SELECT count(*) FROM {relation} WHERE {rule.columns[0]} IS NULL AND ({where})"
-    if rule.kind == ACCEPTED_VALUES:
-        values = ", ".join(f"'{v}'" for v in rule.values)
-        return f"SELECT count(*) FROM {relation} WHERE CAST({rule.columns[0]} AS VARCHAR) NOT IN ({values})"
-    if rule.kind == EXPRESSION:
-        return f"SELECT count(*) FROM {relation} WHERE NOT ({rule.expression})"
-    if rule.kind in (UNIQUE, UNIQUE_COMBINATION):
-        keys = ", ".join(rule.columns)
-        present = f"{rule.columns[0]} IS NOT NULL" if rule.kind == UNIQUE else "TRUE"
-        grouped = f"SELECT 1 FROM {relation} WHERE {present} AND ({where}) GROUP BY {keys} HAVING count(*) > 1"
-        return f"SELECT count(*) FROM ({grouped})"
-    if rule.kind == RELATIONSHIP:
-        child, (parent, key) = rule.columns[0], rule.parent
-        known = f"SELECT {key} FROM {_part(parent)} WHERE {key} IS NOT NULL"
-        return f"SELECT count(*) FROM {relation} WHERE {child} IS NOT NULL AND {child} NOT IN ({known})"
-    parts = " + ".join(f"(SELECT count(*) FROM {_part(p)})" for p in rule.parts)
-    return f"SELECT CAST((SELECT count(*) FROM {relation}) <> {parts} AS BIGINT)"
-
-
-def _text(value: str | None) -> str:
-    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
-
-
-def report(*kinds: str) -> str:
-    rows = [
-        f"SELECT {_text(r.model)} AS model_name, {_text(r.label)} AS rule_name, {_text(r.severity)} AS severity, "
-        f"{_text(r.dimension or 'none')} AS dimension, ({_failures(r)}) AS failures"
-        for r in all_rules(CFG)
-        if not kinds or r.kind in kinds
-    ]
-    return "SELECT *, if(failures = 0, 'pass', severity) AS status FROM (" + "\nUNION ALL ".join(rows) + ")"
-
-
 def _folded(relation: str, columns: list[str], shown: tuple[str, ...]) -> str:
     rest = sorted(set(columns) - set(shown))
     return f"SELECT {', '.join(shown)}, {digest(rest)} AS other_columns_digest FROM {relation}"
@@ -133,6 +71,36 @@ _PADDED = (
     "customer_name", "deal_name", "is_registration_extended", "reg_denied_date",
 )
 
+def _with_amounts(relation: str, *columns: str) -> str:
+    return f"SELECT * REPLACE ({', '.join(f'{amount(c)} AS {c}' for c in columns)}) FROM {relation}"
+
+
+ROW_KINDS = ("not_null", "accepted_values", "expression_is_true")
+
+# Every lookup, with the relation and column that have to be unique, and relations that are not.
+_LOOKUP_SIDES = {
+    "dim_deal_registration.partner_account_id": ("raw_dim_account", "account_id"),
+    "dim_deal_registration.distributor_account_id": ("raw_dim_account", "account_id"),
+    "dim_deal_registration.internal_contact_id": ("raw_dim_contact", "contact_id"),
+    "dim_deal_registration.partner_sales_rep_id": ("people", "user_id"),
+    "dim_deal_registration.distributor_rep_id": ("people", "user_id"),
+    "dim_deal_registration.opportunity_owner": ("people", "user_id"),
+    "dim_deal_registration.opportunity_owner_rd": ("people", "user_id"),
+    "dim_vartopia_deal_registration.partner_account_id": ("raw_dim_account", "account_id"),
+    "dim_vartopia_deal_registration.distributor_account_id": ("raw_dim_account", "account_id"),
+    "dim_vartopia_deal_registration.opportunity_owner_id": ("people", "user_id"),
+    "dim_opportunity.owner_id": ("people", "user_id"),
+    "dim_opportunity.bill_to": ("billing", "address_id"),
+    "dim_opportunity.record_type_id": ("record_types", "record_type_id"),
+    "dim_quote_unified.record_type_id": ("quote_record_types", "record_type_id"),
+    "dim_user.user_role_id": ("(SELECT * FROM raw_userrole WHERE is_current)", "userrole_id"),
+    "dim_user.profile_id": ("(SELECT * FROM raw_profile WHERE is_current)", "profile_id"),
+    "dim_user.vp_sales_id": ("people", "user_id"),
+    "raw.user": ("raw_user", "user_id"),
+    "raw.recordtype": ("raw_recordtype", "record_type_id"),
+    "raw.opportunity": ("raw_opportunity", "opportunity_id"),
+}
+
 SELECTS: dict[str, str] = {
     "truthy_flags": f"SELECT deal_registration_id, {_LEGACY_FLAGS} FROM stg_legacy",
     "rename_conform": "SELECT * FROM stg_legacy",
@@ -142,6 +110,23 @@ SELECTS: dict[str, str] = {
         f"WHERE {c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL"
         for c in ("old_value", "new_value", "created_date")
     ),
+    "set_aside_counts": "SELECT column_name, value, count(*) AS n_rows FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM raw_opportunity_field_history "
+        f"WHERE {c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL"
+        for c in ("old_value", "new_value", "created_date")
+    )
+    + ") GROUP BY column_name, value",
+    "readable_history": "SELECT opportunity_id, field_name, TRY_CAST(old_value AS TIMESTAMP) AS old_value, "
+    "TRY_CAST(new_value AS TIMESTAMP) AS new_value FROM raw_opportunity_field_history "
+    "WHERE (old_value IS NULL) = (TRY_CAST(old_value AS TIMESTAMP) IS NULL) "
+    "AND (new_value IS NULL) = (TRY_CAST(new_value AS TIMESTAMP) IS NULL)",
+    "source_scan": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TEST_TABLES),
+    "stored_registrations": f"SELECT source_system, registration_id, {', '.join(UNIFIED_SHOWN)} FROM dim_unified",
+    "load_time": "SELECT user_id, TRUE AS is_query_time FROM people",
+    "latest_by_content": "SELECT DISTINCT quote_id, system_modstamp, created_date FROM (SELECT quote_id, system_modstamp, created_date, "
+    "row_number() OVER (PARTITION BY quote_id ORDER BY system_modstamp DESC NULLS LAST, created_date DESC NULLS LAST) AS place "
+    "FROM raw_quote WHERE is_deleted = FALSE) WHERE place = 1",
     "fallback_key": "SELECT vartopia_registration_id, dedupe_key FROM keyed_portal",
     "surrogate_key": "SELECT quote_number, md5(quote_id) AS one_part, "
     "md5(quote_id || '-' || ifnull(legacy_quote_id, '_dbt_utils_surrogate_key_null_')) AS two_parts FROM raw_quote",
@@ -163,8 +148,9 @@ SELECTS: dict[str, str] = {
     "selling_model": "SELECT product2_id, product_selling_model_name, nacv_pricing_eligible_flag FROM dim_product",
     "exists_flag": "SELECT vartopia_registration_id, opportunity_id, migrated_to_vartopia, "
     "is_native_vartopia_registration FROM stg_portal",
-    "fan_out_guard": "SELECT opportunity_id, count(*) AS n_rows FROM raw_opportunity "
-    "GROUP BY opportunity_id HAVING count(*) > 1",
+    "fan_out_guard": "SELECT lookup, key, count(*) AS n_rows FROM ("
+    + " UNION ALL ".join(f"SELECT '{name}' AS lookup, {key} AS key FROM {side}" for name, (side, key) in _LOOKUP_SIDES.items())
+    + ") WHERE key IS NOT NULL GROUP BY lookup, key HAVING count(*) > 1",
     "task_without_record": "SELECT opportunity_id, bva_support_task_count, has_bva_task_without_bva_record FROM covered",
     "manager_chain": f"SELECT p.user_id, {_CHAIN_COLUMNS}, coalesce(w.depth, 0) AS manager_chain_depth "
     "FROM people p LEFT JOIN chain_wide w ON w.user_id = p.user_id",
@@ -196,14 +182,23 @@ SELECTS: dict[str, str] = {
     "portal_registration": _folded("dim_portal", _PORTAL_PUBLISHED, (*PORTAL_SHOWN, *PORTAL_NAMES_SHOWN)),
     "unified_registration": "SELECT * FROM dim_unified",
     "dim_user": "SELECT * FROM dim_user",
-    "dim_opportunity": "SELECT COLUMNS(*) FROM dim_opportunity",
-    "dim_product": "SELECT COLUMNS(*) FROM dim_product",
+    "dim_opportunity": _with_amounts("dim_opportunity", "renewal_forecast"),
+    "dim_product": _with_amounts(
+        "dim_product",
+        "deferred_revenue_account",
+        "percent_renewal_uplift",
+        "renewal_uplift_eligible",
+        "revenue_product_category",
+        "royalty_amount_per_unit",
+    ),
     "dim_quote": "SELECT COLUMNS(*) FROM dim_quote",
     "fct_quote": "SELECT * FROM fct_quote",
-    "dq_row_rules": f"SELECT * EXCLUDE (dimension) FROM ({report(NOT_NULL, ACCEPTED_VALUES, EXPRESSION)})",
-    "dq_unique": f"SELECT * EXCLUDE (dimension) FROM ({report(UNIQUE, UNIQUE_COMBINATION)})",
-    "dq_relationships": f"SELECT * EXCLUDE (dimension) FROM ({report(RELATIONSHIP)})",
-    "dq_reconciliation": f"SELECT * EXCLUDE (dimension) FROM ({report(ROW_COUNT)})",
+    "dq_row_rules": f"SELECT * EXCLUDE (dimension) FROM ({report(*ROW_KINDS)})",
+    "dq_unique": f"SELECT * EXCLUDE (dimension) FROM ({report('unique', 'unique_combination_of_columns')})",
+    "dq_relationships": f"SELECT * EXCLUDE (dimension) FROM ({report('relationships')})",
+    "dq_reconciliation": f"SELECT * EXCLUDE (dimension) FROM ({report('row_count_reconciliation')})",
+    "dq_blocking": f"SELECT * EXCLUDE (dimension) FROM ({report(cadence='dq_blocking')})",
+    "dq_observed": f"SELECT * EXCLUDE (dimension) FROM ({report(*ROW_KINDS, models=OBSERVED)})",
     "dq_scorecard": "SELECT dimension, count(*) AS rules, count(*) FILTER (status = 'pass') AS passed, "
     "count(*) FILTER (status = 'warn') AS warned, count(*) FILTER (status = 'error') AS failed, "
     f"CAST(sum(failures) AS BIGINT) AS failures FROM ({report()}) GROUP BY dimension",

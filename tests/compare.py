@@ -26,7 +26,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, Decimal):
-        value = float(value)
+        return value.normalize()
     if isinstance(value, float):
         return None if math.isnan(value) else round(value, 9)
     if isinstance(value, datetime):

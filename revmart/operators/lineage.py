@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,12 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="revmart-checkpoints-"))
 
 
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A fresh path below the checkpoint folder that the driver and all executors share."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute ``df`` now and continue from its checkpoint, which outlives lost executors."""
     _ensure_checkpoint_dir(df.sparkSession)

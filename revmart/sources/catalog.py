@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The raw tables and conformed dimensions the models read.
 INPUTS = (
@@ -52,11 +53,16 @@ def read_inputs(
 
 @dataclass(frozen=True)
 class TableStore:
-    """Where tables are rebuilt: a folder of files or a schema of the session's catalog."""
+    """Where tables are rebuilt: a folder of files or a schema of the session's catalog.
+
+    Tables of the session's own catalog that name a key are dealt into ``buckets`` by it, so that joins and rollups on that
+    key read them without a shuffle.
+    """
 
     base_path: str | None = None
     namespace: str | None = None
     fmt: str = "parquet"
+    buckets: int = 64
 
     def _path(self, name: str, layer: str) -> str:
         return f"{self.base_path.rstrip('/')}/{layer}/{name}"
@@ -70,19 +76,20 @@ class TableStore:
         path, fs = _file_system(spark, self._path(name, layer))
         return spark.read.format(self.fmt).load(self._path(name, layer)) if fs.exists(path) else None
 
-    def rebuild(self, df: DataFrame, name: str, layer: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    def rebuild(
+        self, df: DataFrame, name: str, layer: str, partition_by: Sequence[str] = (), bucket_by: Sequence[str] = ()
+    ) -> DataFrame:
         """Replace the table by ``df`` and return it as read back, cutting the lineage.
 
-        Files are written beside the old ones and renamed when complete, so a failed job leaves the old table.
-        Tables of a catalog are replaced as the catalog's format does it.
+        Tables of another catalog than the session's own are replaced by that catalog.  Other tables are written beside the
+        old ones and swapped when complete: a failed job or a failed swap leaves the old table.
         """
         spark = df.sparkSession
+        if self.namespace is not None:
+            return self._rebuild_in_catalog(df, name, partition_by, bucket_by)
         writer = df.write.mode("overwrite").format(self.fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        if self.namespace is not None:
-            writer.saveAsTable(f"{self.namespace}.{name}")
-            return spark.table(f"{self.namespace}.{name}")
         target = self._path(name, layer)
         mark = uuid.uuid4().hex
         (new, fs), (old, _), (path, _) = (_file_system(spark, p) for p in (f"{target}.new-{mark}", f"{target}.old-{mark}", target))
@@ -91,12 +98,84 @@ class TableStore:
         except BaseException:
             fs.delete(new, True)
             raise
-        if fs.exists(path):
-            fs.rename(path, old)
-        fs.rename(new, path)
-        fs.delete(old, True)
+        swap(fs, new, path, old)
         return spark.read.format(self.fmt).schema(df.schema).load(target)
 
+    def _rebuild_in_catalog(self, df: DataFrame, name: str, partition_by: Sequence[str], bucket_by: Sequence[str]) -> DataFrame:
+        spark, table = df.sparkSession, f"{self.namespace}.{name}"
+        if of_other_catalog(table):
+            writer = df.writeTo(table).using(self.fmt)
+            if partition_by:
+                writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
+            writer.createOrReplace()
+            return spark.table(table)
+        new, old = (f"{self.namespace}.{name}_{part}_{uuid.uuid4().hex}" for part in ("new", "old"))
+        writer = df.write.format(self.fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        if bucket_by:
+            writer = writer.bucketBy(self.buckets, *bucket_by).sortBy(*bucket_by)
+        try:
+            writer.saveAsTable(new)
+        except BaseException:
+            spark.sql(f"DROP TABLE IF EXISTS {new}")
+            raise
+        had = spark.catalog.tableExists(table)
+        if had:
+            spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        except BaseException:
+            if had:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+            spark.sql(f"DROP TABLE IF EXISTS {new}")
+            raise
+        if had:
+            spark.sql(f"DROP TABLE {old}")
+        return spark.table(table)
+
+
+class SwapError(Exception):
+    """Raised when a rebuilt table could not take its place."""
+
+
+def swap(fs, new, path, old) -> None:
+    """Put the folder ``new`` in the place of ``path``; the old folder is deleted last, and put back on failure.
+
+    File systems answer a rename that did not happen with false instead of an error, or leave the source where it is.
+    """
+
+    def renamed(source, target) -> bool:
+        return bool(fs.rename(source, target)) and not fs.exists(source) and bool(fs.exists(target))
+
+    had = fs.exists(path)
+    if had and not renamed(path, old):
+        if not fs.exists(path) and fs.exists(old):
+            fs.rename(old, path)
+        fs.delete(new, True)
+        raise SwapError(f"the old table could not be set aside: {path}")
+    try:
+        done = renamed(new, path)
+    except BaseException:
+        if had and not fs.exists(path):
+            fs.rename(old, path)
+        raise
+    if not done:
+        if had:
+            if fs.exists(path):
+                fs.delete(path, True)
+            if not renamed(old, path):
+                raise SwapError(f"the new table could not be put in place; the old one is {old}")
+        fs.delete(new, True)
+        raise SwapError(f"the new table could not be put in place: {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def of_other_catalog(table: str) -> bool:
+    """Whether the name leads to a catalog with its own way of replacing tables."""
+    return table.count(".") >= 2 and not table.startswith("spark_catalog.")
+
 
 def _file_system(spark: SparkSession, path: str):
     """The path and its file system, whatever store it lies in."""

@@ -16,7 +16,9 @@ class Config:
     ``org`` is the spelling of the company's own name inside CRM column names
     (``<org>_contact__c``, ``why_<org>``).  With ``org`` set, the published columns carry it
     too; without it they carry neutral names.  ``quote_tie`` is the column deciding between
-    quote versions of equal age; by default a digest of the row decides.
+    quote versions of equal age; by default a digest of the row decides.  With ``guard_lookups`` a build
+    fails when a lookup key occurs twice, which would multiply rows.  With ``set_aside`` raw registrations with an
+    unreadable time do not fail the build: they are left out, and stored apart with the reason where there is a store.
     """
 
     org: str | None = None
@@ -26,6 +28,8 @@ class Config:
     as_of: datetime | None = None
     lenient_times: bool = False
     quote_tie: str | None = None
+    guard_lookups: bool = False
+    set_aside: bool = False
 
     @property
     def org_prefix(self) -> str:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from revmart.functions.columns import timestamp_of, truthy
 
@@ -60,6 +61,52 @@ def unparsed_times(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def unreadable(fields: Iterable[Field]) -> Column:
+    """The times of a raw row that are present but unreadable: ``column_name, value`` of each, in order."""
+    found = [
+        F.when(
+            F.col(f.source).isNotNull() & F.col(f.source).try_cast("timestamp").isNull(),
+            F.struct(F.lit(f.name).alias("column_name"), F.col(f.source).cast("string").alias("value")),
+        )
+        for f in fields
+        if f.kind == "time"
+    ]
+    return F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array()
+
+
+def readable_rows(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
+    """The raw rows whose times can all be read."""
+    return df.where(F.size(unreadable(fields)) == 0)
+
+
+def set_aside_rows(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
+    """The other raw rows as they are, with ``unreadable_values``: which columns cannot be read, and what they hold."""
+    return df.select("*", unreadable(fields).alias("unreadable_values")).where(F.size("unreadable_values") > 0)
+
+
+def set_aside_counts(aside: DataFrame) -> DataFrame:
+    """``column_name, value, n_rows`` of what could not be read."""
+    return aside.select(F.inline("unreadable_values")).groupBy("column_name", "value").agg(F.count("*").alias("n_rows"))
+
+
+def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """The frame with the declared types; a column of a type that does not fit fails under its name.
+
+    Types that hold every value of the column's own are widened to; nothing is parsed, cut or rounded.
+    """
+    fields = [StructField(f.name, _parse_type(types[f.name]) if f.name in types else f.dataType) for f in df.schema]
+    return df.to(StructType(fields))
+
+
+def _parse_type(text: str) -> DataType:
+    return StructType.fromDDL(f"x {text}")[0].dataType
+
+
+def narrowed(fields: Iterable[Field], columns: Collection[str] | None) -> list[Field]:
+    """The fields of the wanted columns; all of them without a choice."""
+    return [f for f in fields if columns is None or f.name in columns]
+
+
 def project(df: DataFrame, fields: Iterable[Field], computed: Mapping[str, Column]) -> DataFrame:
     """Select the published columns in order; ``computed`` supplies those that are not renames."""
     return df.select(

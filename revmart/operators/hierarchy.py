@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revmart.operators.lookups import Lookup, enrich, exists_flag
+from revmart.operators.lookups import Lookup, enrich, exists_flag, fits_broadcast
 
 MANAGER_ATTRS = {"user_id": "user_id", "user_name": "name", "title": "title"}
 
@@ -21,11 +21,21 @@ def with_manager_flag(users: DataFrame) -> DataFrame:
 
 
 def manager_chain(users: DataFrame, levels: int = 7) -> DataFrame:
-    """Add ``manager_level_<k>_{user_id,name,title}`` for every level, by one lookup per level.
+    """Add ``manager_level_<k>_{user_id,name,title}`` for every level.
 
     ``users`` needs ``user_id, manager_id, user_name, title`` with unique ids.  A chain ends at the first manager that
-    is missing; a cycle fills all levels.
+    is missing; a cycle fills all levels.  Users that may be broadcast are looked up once per level, without a shuffle; chains of
+    more users are doubled: three joins of narrow rows give seven levels, and the wide rows move once.
     """
+    if fits_broadcast(users, ["manager_id", *MANAGER_ATTRS]):
+        return _chain_by_level(users, levels)
+    above = doubled_chains(users, levels)
+    named = [F.get("_above", F.lit(k - 1))[a].alias(level_column(k, b)) for k in range(1, levels + 1) for a, b in MANAGER_ATTRS.items()]
+    chains = above.select(F.col("user_id").alias("_chain_of"), *named)
+    return users.join(chains, F.col("user_id") == F.col("_chain_of"), "left").drop("_chain_of")
+
+
+def _chain_by_level(users: DataFrame, levels: int) -> DataFrame:
     out = users
     for level in range(1, levels + 1):
         fk = "manager_id" if level == 1 else f"_next_{level - 1}"
@@ -34,6 +44,24 @@ def manager_chain(users: DataFrame, levels: int = 7) -> DataFrame:
     return out.drop(*[f"_next_{level}" for level in range(1, levels + 1)])
 
 
+def doubled_chains(users: DataFrame, levels: int) -> DataFrame:
+    """``user_id, _above``: the users above each user in order, at least ``levels`` of them where the chain is that long.
+
+    A row holds a stretch of the chain, the user first, and who comes after it.  A join appends the stretch that
+    begins there, so stretches double until they are long enough.
+    """
+    person = F.struct(*MANAGER_ATTRS)
+    chains = users.where(F.col("user_id").isNotNull()).select("user_id", F.array(person).alias("_chain"), F.col("manager_id").alias("_next"))
+    length = 1
+    while length <= levels:
+        ahead = chains.select(F.col("user_id").alias("_of"), F.col("_chain").alias("_more"), F.col("_next").alias("_after"))
+        joined = chains.join(ahead, F.col("_next") == F.col("_of"), "left")
+        more = F.coalesce(F.col("_more"), F.array().cast(chains.schema["_chain"].dataType))
+        chains = joined.select("user_id", F.concat("_chain", more).alias("_chain"), F.col("_after").alias("_next"))
+        length *= 2
+    return chains.select("user_id", F.slice("_chain", 2, levels).alias("_above"))
+
+
 def chain_depth(levels: int = 7) -> Column:
     """Deepest level that resolves to a manager, 0 without one."""
     depth = F.lit(0)

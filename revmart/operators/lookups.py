@@ -1,22 +1,31 @@
 """Left-join enrichment: lookups, role-playing lookups, existence flags.
 
-No job runs while joins are declared.  A side is marked for broadcast when the planner's size estimate of the frames
-it comes from is within the session's ``spark.sql.autoBroadcastJoinThreshold``; any other join is left to the planner
-and to adaptive execution, which splits the partitions of frequent and missing keys.  Both ways give the same rows.
+No job runs while joins are declared.  A side is marked for broadcast when its estimated size in memory is within the
+session's ``spark.sql.autoBroadcastJoinThreshold``.  What is left over are lookups into large sides.  A single one is an
+ordinary join; several are unfolded where the caller names the row's key: the narrow rows (key, role, reference) are
+shuffled once per lookup side, however many roles it plays, the values found are folded back to one narrow row per key,
+and the wide row moves once, to meet them.  Keys spread evenly, missing references are not shuffled at all, and the partitions of
+frequent references are split by adaptive execution while they hold narrow rows.  All ways give the same rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+#: Estimates are of compressed columnar files; in memory their rows take several times as much.
+EXPANSION = 3
+
+
+class DuplicateLookupKeyError(Exception):
+    """Raised when lookup keys that would multiply rows are found."""
 
 
 @dataclass(frozen=True)
@@ -41,37 +50,147 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(number) * _UNITS[unit]
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The planner's size estimate of a frame."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+_SIZES: WeakKeyDictionary[DataFrame, dict[tuple[str, ...], int]] = WeakKeyDictionary()
+
+
+def estimated_bytes(df: DataFrame, *columns: str) -> int:
+    """The planner's size estimate of a frame or some of its columns; asked once, as every question optimizes a plan."""
+    known = _SIZES.setdefault(df, {})
+    if columns not in known:
+        part = df.select(*columns) if columns else df
+        known[columns] = int(str(part._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return known[columns]
+
+
+def fits_broadcast(dim: DataFrame, columns: Sequence[str] = (), sized_by: Sequence[DataFrame] = ()) -> bool:
+    """Whether the columns' estimated size in memory is within the session's broadcast threshold."""
+    limit = broadcast_limit(dim)
+    if limit <= 0:
+        return False
+    size = sum(estimated_bytes(f) for f in sized_by) if sized_by else estimated_bytes(dim, *columns)
+    return EXPANSION * size <= limit
 
 
-def fits_broadcast(side: DataFrame, sized_by: Sequence[DataFrame] = ()) -> bool:
-    """Whether the frame's estimated size is within the session's broadcast threshold."""
-    return sum(estimated_bytes(f) for f in (sized_by or [side])) <= broadcast_limit(side)
+def needed(lookups: Sequence[Lookup], columns: Collection[str] | None) -> list[Lookup]:
+    """The lookups that find any of the wanted columns.
+
+    The optimizer cannot drop the others' joins, since it does not know that they keep the number of rows.
+    """
+    return [s for s in lookups if columns is None or not set(columns).isdisjoint(s.attrs.values())]
+
+
+def _guarded(side: DataFrame, key: str, step: Lookup) -> DataFrame:
+    """Fail where a key occurs twice, counted where the join's own shuffle puts the key's rows."""
+    text = F.concat(F.lit(f"{step.fk}: {step.pk} "), F.col(key).cast("string"), F.lit(" occurs more than once"))
+    counted = side.where(F.col(key).isNotNull()).withColumn("_rows", F.count("*").over(Window.partitionBy(key)))
+    return counted.where(F.when(F.col("_rows") > 1, F.raise_error(text).cast("boolean")).otherwise(True)).drop("_rows")
 
 
-def enrich(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Apply lookups one after another; the row count never changes for unique lookup keys."""
-    out = df
-    for i, step in enumerate(lookups):
-        key = f"_lookup_key_{i}"
-        side = step.dim.select(F.col(step.pk).alias(key), *[F.col(a).alias(b) for a, b in step.attrs.items()])
-        if fits_broadcast(side, step.sized_by):
-            side = F.broadcast(side)
-        out = out.join(side, F.col(step.fk) == F.col(key), "left").drop(key)
+@dataclass(frozen=True)
+class _Side:
+    """Lookups into one frame by one key, and whether the frame is to be broadcast."""
+
+    steps: tuple[Lookup, ...]
+    small: bool
+
+    def frame(self, key: str, columns: Mapping[str, str], guard: bool) -> DataFrame:
+        step = self.steps[0]
+        side = step.dim.select(F.col(step.pk).alias(key), *[F.col(a).alias(b) for a, b in columns.items()])
+        side = _guarded(side, key, step) if guard else side
+        return F.broadcast(side) if self.small else side
+
+
+def _sides(df: DataFrame, lookups: Sequence[Lookup]) -> list[_Side]:
+    groups: dict[tuple, list[Lookup]] = {}
+    for step in lookups:
+        groups.setdefault((id(step.dim), step.pk, df.schema[step.fk].dataType), []).append(step)
+    out = []
+    for steps in groups.values():
+        read = sorted({steps[0].pk, *[a for s in steps for a in s.attrs]})
+        out.append(_Side(tuple(steps), fits_broadcast(steps[0].dim, read, steps[0].sized_by)))
     return out
 
 
-def duplicated_lookup_keys(lookups: Sequence[Lookup]) -> DataFrame:
-    """``fk, pk, key, n_rows`` of the lookup keys that would multiply rows; empty for sound lookups."""
-    found = [
-        duplicate_keys(step.dim.where(F.col(step.pk).isNotNull()), step.pk).select(
-            F.lit(step.fk).alias("fk"), F.lit(step.pk).alias("pk"), F.col(step.pk).cast("string").alias("key"), "n_rows"
-        )
-        for step in lookups
-    ]
-    return reduce(DataFrame.union, found)
+def enrich(df: DataFrame, lookups: Sequence[Lookup], row_key: Sequence[str] = (), guard: bool = False) -> DataFrame:
+    """Left-join every lookup; the row count never changes for unique lookup keys.
+
+    ``row_key`` names columns that tell the rows apart, or nearly so: they decide where rows go, while rows that share a key
+    keep their own references.  ``guard`` fails the query when a lookup key that would multiply rows occurs.
+    """
+    out, names = df, list(df.columns)
+    waiting = list(lookups)
+    while waiting:
+        # A lookup may start from what another one found.
+        ready = [s for s in waiting if s.fk in out.columns]
+        if not ready:
+            raise KeyError(f"no column {sorted({s.fk for s in waiting})} to look up from")
+        waiting = [s for s in waiting if s not in ready]
+        sides = _sides(out, ready)
+        large = [side for side in sides if not side.small]
+        if row_key and sum(len(side.steps) for side in large) > 1:
+            out = _unfolded(out, large, row_key, guard)
+            sides = [side for side in sides if side.small]
+        for side in sides:
+            for i, step in enumerate(side.steps):
+                key = f"_lookup_key_{i}"
+                out = out.join(side.frame(key, step.attrs, guard), F.col(step.fk) == F.col(key), "left").drop(key)
+    return out.select(*names, *[b for s in lookups for b in s.attrs.values() if b not in names])
+
+
+def _unfolded(df: DataFrame, sides: Sequence[_Side], row_key: Sequence[str], guard: bool) -> DataFrame:
+    """All lookups of ``sides`` with one shuffle of ``df``; each row of a repeated lookup key gives a row, as a join does."""
+    steps = [s for side in sides for s in side.steps]
+    number = {id(s): i for i, s in enumerate(steps)}
+    fks = sorted({s.fk for s in steps})
+    # Rows of one key with other references are told apart by the mark; NULLs by their places, as hashes skip them.
+    marked = [F.col(c) for c in fks] + [F.col(c).isNull() for c in [*row_key, *fks]]
+    place = {f"_row_{i}": F.coalesce(F.col(c).cast("string"), F.lit("")) for i, c in enumerate(row_key)}
+    place["_row_mark"] = F.xxhash64(*marked)
+    keys = list(place)
+    narrow = df.select(*[c.alias(n) for n, c in place.items()], *fks).distinct()
+    found = []
+    for side in sides:
+        roles = F.array(*[F.struct(F.lit(number[id(s)]).alias("_role"), F.col(s.fk).alias("_reference")) for s in side.steps])
+        asked = narrow.select(*keys, F.inline(roles)).where(F.col("_reference").isNotNull())
+        attrs = {a: f"_attr_{a}" for s in side.steps for a in s.attrs}
+        matched = asked.join(side.frame("_lookup_key", attrs, guard), F.col("_reference") == F.col("_lookup_key"))
+        values = [
+            F.when(F.col("_role") == number[id(s)], F.struct(*[F.col(f"_attr_{a}").alias(b) for a, b in s.attrs.items()])).alias(
+                f"_found_{number[id(s)]}"
+            )
+            for s in side.steps
+        ]
+        found.append(matched.select(*keys, *values))
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+    folded = together.groupBy(*keys).agg(*[F.collect_list(f"_found_{i}").alias(f"_found_{i}") for i in range(len(steps))])
+    for i in range(len(steps)):
+        folded = folded.withColumn(f"_found_{i}", F.explode_outer(f"_found_{i}"))
+    named = [F.col(f"_found_{i}")[b].alias(b) for i, s in enumerate(steps) for b in s.attrs.values()]
+    placed = df.select("*", *[c.alias(n) for n, c in place.items()])
+    return placed.join(folded.select(*keys, *named), keys, "left").drop(*keys)
+
+
+def lookup_keys(lookups: Mapping[str, Lookup]) -> DataFrame:
+    """``lookup, key`` of the non-NULL keys of every lookup side."""
+    return reduce(
+        DataFrame.unionAll,
+        [
+            step.dim.where(F.col(step.pk).isNotNull()).select(F.lit(name).alias("lookup"), F.col(step.pk).cast("string").alias("key"))
+            for name, step in lookups.items()
+        ],
+    )
+
+
+def duplicated_lookup_keys(lookups: Mapping[str, Lookup]) -> DataFrame:
+    """``lookup, key, n_rows`` of the lookup keys that would multiply rows, in one shuffle; empty for sound lookups."""
+    return duplicate_keys(lookup_keys(lookups), "lookup", "key")
+
+
+def check_lookup_keys(lookups: Mapping[str, Lookup]) -> None:
+    """Raise when a lookup key would multiply rows. Reads a few of them."""
+    found = duplicated_lookup_keys(lookups).limit(20).collect()
+    if found:
+        raise DuplicateLookupKeyError("; ".join(sorted(f"{r.lookup}: {r.key} ({r.n_rows} rows)" for r in found)))
 
 
 def presence(keys: DataFrame, key: str, fk: str, alias: str) -> Lookup:

@@ -305,6 +305,34 @@ QUOTE_COMPUTED = (
     "has_refresh_quote_line",
 )
 
+# Types of published columns, the same in every table; other columns keep the type they come with.
+TYPES = {
+    "boolean": """
+acv_eligible_flag add_teaming_partner am_approved am_rejected closed_lost_exclusion_flag eligible_for_resubmission
+{employee} has_bva_task_without_bva_record has_manager_flag has_refresh_quote_line has_vp_sales_flag is_active
+is_approved_by_vartopia is_clone is_created_by_auto_reg is_created_from_mvs is_created_from_registration is_current
+is_deleted is_ez_update_eligible is_manager_flag is_migrated_quote is_native_vartopia_registration is_refresh_quote
+is_registration_extended is_registration_sent_to_vartopia is_resubmitted is_send_update_request is_sent_to_vartopia
+is_sync_with_vartopia migrated_to_vartopia nacv_pricing_eligible_flag non_qualified_loss_flag
+partner_agrees_to_set_up_meeting partner_met_or_spoken_with_a_customer refresh_quote_flag
+reprocess_notifications_distributor revops_reporting_exclusion_flag
+""",
+    "timestamp": """
+approved_date close_date_prior created_date current_date_time edp_updated_at expected_close_date expiration_date
+last_modified_date last_referenced_date last_request_for_update last_update_provided_by_partner
+last_updated_for_vartopia last_viewed_date next_update_auto_request_date reg_auto_sync_time reg_denied_date
+system_modstamp system_mod_stamp time_to_approve
+""",
+    "bigint": "bva_support_task_count close_date_change_count close_date_push_count quote_line_count",
+    "int": "manager_chain_depth stage_order",
+    "string": """
+product_sk quote_unified_sk source_system user_name registration_status deal_registration_type denial_reason
+partner_account_name distributor_account_name opportunity_owner_name stage_group saas_prod_group_old saas_prod_group
+""",
+}
+# Columns whose names end so hold ids.
+ID_ENDING = "_id"
+
 # ---------------------------------------------------------------------------------------
 # End of fixed values.
 # ---------------------------------------------------------------------------------------
@@ -327,6 +355,12 @@ def portal_staging(cfg: Config) -> list[Field]:
     return parse_fields(cfg.spell(PORTAL_STAGING), _portal_source)
 
 
+def published_types(columns: list[str], cfg: Config) -> dict[str, str]:
+    """The declared types among some published columns."""
+    declared = {name: kind for kind, names in TYPES.items() for name in cfg.spell(names).split()}
+    return {c: declared.get(c, "string") for c in columns if c in declared or c.endswith(ID_ENDING)}
+
+
 def published(contract: str, cfg: Config) -> list[Field]:
     """The published columns of a model: name and, where it differs, the column it renames."""
     return parse_fields(cfg.spell(contract))

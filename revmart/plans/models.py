@@ -3,29 +3,38 @@
 from __future__ import annotations
 
 from collections import ChainMap
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from revmart.config import Config
-from revmart.operators.lineage import cut_lineage
-from revmart.operators.quality import Rule, columns_read, evaluate
-from revmart.plans import opportunities, products, quotes, registrations, users
+from revmart.operators.conform import set_aside_rows, typed
+from revmart.operators.lookups import Lookup
+from revmart.operators.quality import RowRuleWatch, Rule, evaluate, names_read
+from revmart.plans import contracts, opportunities, products, quotes, registrations, users
 from revmart.plans.checks import all_rules
 from revmart.sources.catalog import TableStore
 
 Get = Callable[[str], DataFrame]
 
 
+#: Columns wanted of a model; None for all.
+Columns = Collection[str] | None
+
+
 @dataclass(frozen=True)
 class Model:
-    """A named result: its layer, tags, whether it is stored, and how it is built."""
+    """A named result: its layer, tags, whether it is stored and by which key it is bucketed, and how it is built.
+
+    A build that is asked for some columns leaves out the joins that only supply others.
+    """
 
     layer: str
     tags: tuple[str, ...]
     stored: bool
-    build: Callable[[Get, Config], DataFrame]
+    build: Callable[[Get, Config, Columns], DataFrame]
+    bucket_by: tuple[str, ...] = ()
 
 
 # Names read by several marts come from ``int_people``, the conformed current users behind
@@ -35,62 +44,71 @@ MODELS: dict[str, Model] = {
         "staging",
         ("staging", "salesforce", "deal_registration"),
         False,
-        lambda get, cfg: registrations.build_stg_legacy(get("deal_registration__c"), cfg),
+        lambda get, cfg, columns: registrations.build_stg_legacy(get("deal_registration__c"), cfg),
     ),
     "stg_vartopia_deal_registration": Model(
         "staging",
         ("staging", "salesforce", "vartopia", "deal_registration"),
         False,
-        lambda get, cfg: registrations.build_stg_portal(
+        lambda get, cfg, columns: registrations.build_stg_portal(
             get("salesforce_vartopiadrs__registration__c"), get("stg_deal_registration"), cfg
         ),
     ),
-    "int_people": Model("intermediate", ("intermediate",), False, lambda get, cfg: users.people(get("user"), cfg)),
+    "int_people": Model("intermediate", ("intermediate",), False, lambda get, cfg, columns: users.people(get("user"), cfg)),
     "int_latest_quote": Model(
-        "intermediate", ("intermediate",), True, lambda get, cfg: quotes.latest_quotes(get("quote"), cfg)
+        "intermediate",
+        ("intermediate",),
+        True,
+        lambda get, cfg, columns: quotes.latest_quotes(get("quote"), cfg),
+        bucket_by=("quote_id",),
     ),
     "int_quote_lines": Model(
-        "intermediate", ("intermediate",), True, lambda get, cfg: quotes.quote_lines(get("fct_quote_line_unified"))
+        "intermediate",
+        ("intermediate",),
+        True,
+        lambda get, cfg, columns: quotes.quote_lines(get("fct_quote_line_unified")),
+        bucket_by=("quote_id",),
     ),
     "dim_user": Model(
         "gold",
         ("gold", "common", "dimension", "salesforce"),
         True,
-        lambda get, cfg: users.build_dim_user(get("user"), get("userrole"), get("profile"), cfg),
+        lambda get, cfg, columns: users.build_dim_user(get("user"), get("userrole"), get("profile"), cfg, columns),
     ),
     "dim_deal_registration": Model(
         "gold",
         ("gold", "common", "deal_registration"),
         True,
-        lambda get, cfg: registrations.build_dim_legacy(
-            get("stg_deal_registration"), get("dim_account"), get("dim_contact"), get("int_people"), cfg
+        lambda get, cfg, columns: registrations.build_dim_legacy(
+            get("stg_deal_registration"), get("dim_account"), get("dim_contact"), get("int_people"), cfg, columns
         ),
     ),
     "dim_vartopia_deal_registration": Model(
         "gold",
         ("gold", "common", "vartopia", "deal_registration"),
         True,
-        lambda get, cfg: registrations.build_dim_portal(
+        lambda get, cfg, columns: registrations.build_dim_portal(
             get("salesforce_vartopiadrs__registration__c"),
             get("stg_deal_registration"),
             get("dim_account"),
             get("int_people"),
             cfg,
+            columns,
         ),
     ),
     "dim_unified_deal_registration": Model(
         "gold",
         ("gold", "common", "deal_registration", "unified"),
         True,
-        lambda get, cfg: registrations.build_dim_unified(
-            get("dim_deal_registration"), get("dim_vartopia_deal_registration"), cfg
+        lambda get, cfg, columns: registrations.build_dim_unified(
+            get("dim_deal_registration"), get("dim_vartopia_deal_registration"), cfg, columns
         ),
     ),
     "dim_opportunity": Model(
         "gold",
         ("gold", "common", "dimension", "salesforce"),
         True,
-        lambda get, cfg: opportunities.build_dim_opportunity(
+        lambda get, cfg, columns: opportunities.build_dim_opportunity(
             get("opportunity"),
             get("opportunity_field_history"),
             get("dim_task"),
@@ -100,30 +118,31 @@ MODELS: dict[str, Model] = {
             get("recordtype"),
             get("int_people"),
             cfg,
+            columns,
         ),
     ),
     "dim_product": Model(
         "gold",
         ("gold", "common", "dimension", "salesforce"),
         True,
-        lambda get, cfg: products.build_dim_product(
-            get("product2"), get("productsellingmodel"), get("productsellingmodeloption"), cfg
+        lambda get, cfg, columns: products.build_dim_product(
+            get("product2"), get("productsellingmodel"), get("productsellingmodeloption"), cfg, columns
         ),
     ),
     "dim_quote_unified": Model(
         "gold",
         ("gold", "common"),
         True,
-        lambda get, cfg: quotes.build_dim_quote(
-            get("int_latest_quote"), get("sbqq__quote__c"), get("int_quote_lines"), get("recordtype"), cfg
+        lambda get, cfg, columns: quotes.build_dim_quote(
+            get("int_latest_quote"), get("sbqq__quote__c"), get("int_quote_lines"), get("recordtype"), cfg, columns
         ),
     ),
     "fct_quote_unified": Model(
         "gold",
         ("gold", "common"),
         True,
-        lambda get, cfg: quotes.build_fct_quote(
-            get("int_latest_quote"), get("sbqq__quote__c"), get("int_quote_lines"), cfg
+        lambda get, cfg, columns: quotes.build_fct_quote(
+            get("int_latest_quote"), get("sbqq__quote__c"), get("int_quote_lines"), cfg, columns
         ),
     ),
 }
@@ -137,20 +156,50 @@ def selected(only: Iterable[str] | None) -> list[str]:
     return [n for n, m in MODELS.items() if wanted & {n, m.layer, *m.tags}]
 
 
+# Raw inputs with strictly read times, and the staging models that read them.
+STRICT_INPUTS = {
+    "stg_deal_registration": ("deal_registration__c", contracts.legacy_staging),
+    "stg_vartopia_deal_registration": ("salesforce_vartopiadrs__registration__c", contracts.portal_staging),
+}
+
+
+def set_aside(inputs: Mapping[str, DataFrame], cfg: Config = Config()) -> dict[str, DataFrame]:
+    """The raw registrations with unreadable times, by the staging model that would fail on them."""
+    return {name: set_aside_rows(inputs[raw], fields(cfg)) for name, (raw, fields) in STRICT_INPUTS.items()}
+
+
+def _with_parts(columns: Mapping[str, Collection[str]]) -> dict[str, set[str]]:
+    """The wanted columns, with those the unified registrations take from their parts."""
+    out = {name: set(wanted) for name, wanted in columns.items()}
+    unified = out.get("dim_unified_deal_registration", set())
+    for part, own_id in registrations.UNIFIED_IDS.items():
+        out[part] = out.get(part, set()) | {own_id if c == "registration_id" else c for c in unified}
+    return out
+
+
 def build_models(
     inputs: Mapping[str, DataFrame],
     cfg: Config = Config(),
     only: Iterable[str] | None = None,
     store: TableStore | None = None,
+    columns: Mapping[str, Collection[str]] | None = None,
+    watch: RowRuleWatch | None = None,
 ) -> dict[str, DataFrame]:
     """Build the selected models from raw inputs.
 
     With a store, every selected stored model replaces its table, and later models read that
     table back; stored models they need are read from their tables, and built only where there
-    is none yet.  Without one all results stay lazy.  Views are registered under their names
+    is none yet; gold tables are written with their declared types, and an input type that drifted fails under its
+    column's name.  Without a store all results stay lazy.  Views are registered under their names
     when a store is given.
+
+    ``columns`` names the columns wanted of some models, for results that are not stored.  ``watch`` gathers the outcome of row
+    rules while tables are written.
     """
+    if columns is not None and store is not None:
+        raise ValueError("stored models keep all their columns")
     wanted = selected(only)
+    narrow = {} if columns is None else _with_parts(columns)
     built: dict[str, DataFrame] = {}
 
     def get(name: str) -> DataFrame:
@@ -164,11 +213,16 @@ def build_models(
             if store is not None and model.stored and name not in wanted:
                 df = store.read(name, model.layer)
             if df is None:
-                df = model.build(get, cfg)
+                df = model.build(get, cfg, narrow.get(name))
                 if store is not None and model.stored:
-                    df = store.rebuild(df, name, model.layer)
+                    df = typed(df, contracts.published_types(df.columns, cfg)) if model.layer == "gold" else df
+                    df = watch.attach(name, df) if watch is not None else df
+                    df = store.rebuild(df, name, model.layer, bucket_by=model.bucket_by)
                 elif store is not None:
                     df.createOrReplaceTempView(name)
+                    if cfg.set_aside and name in STRICT_INPUTS:
+                        raw, fields = STRICT_INPUTS[name]
+                        store.rebuild(set_aside_rows(get(raw), fields(cfg)), f"{name}_unreadable", "set_aside")
             built[name] = df
         return built[name]
 
@@ -180,14 +234,38 @@ def check_models(
     models: Mapping[str, DataFrame],
     cfg: Config = Config(),
     rules: Sequence[Rule] | None = None,
-    compute_once: bool = False,
+    watch: RowRuleWatch | None = None,
 ) -> DataFrame:
-    """Report on the declared checks over built models and their inputs.
+    """Report on the declared checks over built models and their inputs; no job runs before the report is read.
 
-    ``compute_once`` is for models that are not stored: the columns the rules read are
-    computed at once and checked from a checkpoint, instead of anew for every pass.
+    Row rules that ``watch`` saw while the models were written are taken from there, without reading the tables.
     """
     rules = all_rules(cfg) if rules is None else rules
-    if compute_once:
-        models = {n: cut_lineage(df.select(*columns_read(n, df.columns, rules))) for n, df in models.items()}
-    return evaluate(ChainMap(dict(models), inputs), rules)
+    return evaluate(ChainMap(dict(models), inputs), rules, watch)
+
+
+def check_inputs(inputs: Mapping[str, DataFrame], cfg: Config = Config(), rules: Sequence[Rule] | None = None) -> DataFrame:
+    """Report on checks over models that are not stored: only what the rules read is computed of each."""
+    rules = all_rules(cfg) if rules is None else rules
+    names = names_read(rules)
+    models = build_models(inputs, cfg, only=set(names) & set(MODELS), columns=names)
+    return check_models(inputs, models, cfg, rules)
+
+
+def lookup_sides(inputs: Mapping[str, DataFrame], cfg: Config = Config()) -> dict[str, Lookup]:
+    """Every lookup the models make, by model and reference; the keys of their sides have to be unique."""
+    built = build_models(inputs, cfg, only=["int_people", "stg_deal_registration"])
+    people = built["int_people"]
+    steps = {
+        "dim_deal_registration": registrations.legacy_lookups(inputs["dim_account"], inputs["dim_contact"], people, cfg),
+        "dim_vartopia_deal_registration": [
+            registrations.legacy_presence(built["stg_deal_registration"]),
+            *registrations.portal_lookups(inputs["dim_account"], people),
+        ],
+        "dim_opportunity": opportunities.opportunity_lookups(
+            people, inputs["dim_address"], inputs["dim_account"], inputs["recordtype"]
+        ),
+        "dim_quote_unified": quotes.quote_lookups(inputs["recordtype"]),
+        "dim_user": users.user_lookups(people, inputs["userrole"], inputs["profile"]),
+    }
+    return {f"{model}.{step.fk}": step for model, of_model in steps.items() for step in of_model}

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revmart.config import Config
 from revmart.functions.columns import blank_to_null, contains_any, in_list
-from revmart.operators.conform import project
-from revmart.operators.lookups import Lookup, enrich, value_map
+from revmart.operators.conform import narrowed, project
+from revmart.operators.lookups import Lookup, enrich, needed, value_map
 from revmart.operators.rollups import change_rollup, distinct_count_rollup
 from revmart.operators.versions import current
 from revmart.plans import contracts
@@ -133,6 +135,32 @@ def billing_countries(address: DataFrame, account: DataFrame) -> DataFrame:
     return enrich(address.select("address_id", "account_id"), [step])
 
 
+def opportunity_lookups(users: DataFrame, address: DataFrame, account: DataFrame, recordtype: DataFrame) -> list[Lookup]:
+    """Owner, billing country and record type of an opportunity."""
+    owner = {"user_name": "opportunity_owner_name", "geo": "opportunity_owner_geo", "region": "opportunity_owner_region"}
+    return [
+        Lookup(users, "owner_id", "user_id", owner),
+        Lookup(
+            billing_countries(address, account),
+            "bill_to",
+            "address_id",
+            {"bill_country": "opportunity_owner_country"},
+            sized_by=(address, account),
+        ),
+        Lookup(
+            record_types(recordtype),
+            "record_type_id",
+            "record_type_id",
+            {"record_type_name": "opportunity_record_type_desc"},
+        ),
+    ]
+
+
+# The published columns of each rollup.
+HISTORY_COLUMNS = ("close_date_prior", "close_date_change_count", "close_date_push_count")
+COVERAGE_COLUMNS = ("bva_support_task_count", "has_bva_task_without_bva_record")
+
+
 def build_dim_opportunity(
     opportunity: DataFrame,
     history: DataFrame,
@@ -143,38 +171,20 @@ def build_dim_opportunity(
     recordtype: DataFrame,
     users: DataFrame,
     cfg: Config,
+    columns: Collection[str] | None = None,
 ) -> DataFrame:
     """The three rollups share the opportunity's key, so they join on one shuffle of it."""
-    base = current(opportunity)
-    rolled = with_coverage(base.join(close_date_history(history), "opportunity_id", "left"), task, proposition)
-    named = enrich(
-        rolled,
-        [
-            Lookup(
-                users,
-                "owner_id",
-                "user_id",
-                {
-                    "user_name": "opportunity_owner_name",
-                    "geo": "opportunity_owner_geo",
-                    "region": "opportunity_owner_region",
-                },
-            ),
-            Lookup(
-                billing_countries(address, account),
-                "bill_to",
-                "address_id",
-                {"bill_country": "opportunity_owner_country"},
-                sized_by=(address, account),
-            ),
-            Lookup(
-                record_types(recordtype),
-                "record_type_id",
-                "record_type_id",
-                {"record_type_name": "opportunity_record_type_desc"},
-            ),
-        ],
-    )
+
+    def wanted(*names: str) -> bool:
+        return columns is None or not set(columns).isdisjoint(names)
+
+    rolled = current(opportunity)
+    if wanted(*HISTORY_COLUMNS):
+        rolled = rolled.join(close_date_history(history), "opportunity_id", "left")
+    if wanted(*COVERAGE_COLUMNS):
+        rolled = with_coverage(rolled, task, proposition)
+    lookups = needed(opportunity_lookups(users, address, account, recordtype), columns)
+    named = enrich(rolled, lookups, ["opportunity_id"], cfg.guard_lookups)
     computed = (
         synced_quote()
         | stage_attributes()
@@ -187,4 +197,4 @@ def build_dim_opportunity(
             "sales_forecast_category_bridge": forecast_bridge(),
         }
     )
-    return project(named, contracts.published(contracts.OPPORTUNITY, cfg), computed)
+    return project(named, narrowed(contracts.published(contracts.OPPORTUNITY, cfg), columns), computed)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revmart.config import Config
 from revmart.functions.columns import in_list, is_true, relabel, surrogate_key
-from revmart.operators.conform import project
+from revmart.operators.conform import narrowed, project
 from revmart.operators.lookups import Lookup, enrich
 from revmart.operators.rollups import bridged_max
 from revmart.operators.versions import current, live
@@ -101,10 +103,14 @@ def with_selling_model(product: DataFrame, model: DataFrame, option: DataFrame)
     return enrich(product, [step])
 
 
-def build_dim_product(product: DataFrame, model: DataFrame, option: DataFrame, cfg: Config) -> DataFrame:
-    named = with_selling_model(live(current(product)), model, option)
+def build_dim_product(
+    product: DataFrame, model: DataFrame, option: DataFrame, cfg: Config, columns: Collection[str] | None = None
+) -> DataFrame:
+    named = live(current(product))
+    if columns is None or not set(columns).issubset({*named.columns, "product_sk"}):
+        named = with_selling_model(named, model, option)
     computed = classifications() | {
         "model_logic_version": F.lit(cfg.product_logic_version),
         "product_sk": surrogate_key("product2_id"),
     }
-    return project(named, contracts.published(contracts.PRODUCT, cfg), computed)
+    return project(named, narrowed(contracts.published(contracts.PRODUCT, cfg), columns), computed)

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmart.config import Config
 from revmart.functions.columns import email_in_domain, positive_amount, surrogate_key
+from revmart.operators import conform
 from revmart.operators.conform import unparsed_times
 from revmart.operators.hierarchy import chain_depth, level_column, manager_chain, top_value, with_manager_flag
-from revmart.operators.lookups import duplicate_keys
+from revmart.operators.lineage import shared_folder
+from revmart.operators.lookups import Lookup, duplicated_lookup_keys
 from revmart.operators.quality import (
     ACCEPTED_VALUES,
     EXPRESSION,
@@ -21,14 +25,16 @@ from revmart.operators.quality import (
     ROW_COUNT,
     UNIQUE,
     UNIQUE_COMBINATION,
+    RowRuleWatch,
     scorecard,
 )
 from revmart.operators.versions import current, live
 from revmart.plans import contracts, opportunities, products, quotes, registrations, users
-from revmart.plans.checks import all_rules
-from revmart.plans.models import MODELS, build_models, check_models
+from revmart.plans.checks import all_rules, select_rules
+from revmart.plans.models import MODELS, build_models, check_inputs, check_models, lookup_sides
 from revmart.session import tune
-from revmart.sources.derived import DerivedInputs
+from revmart.sources.catalog import TableStore, read_inputs
+from revmart.sources.derived import TEST_TABLES, DerivedInputs
 
 # A fixed load time makes results repeatable; quote numbers tell equally old versions apart.
 CFG = Config(as_of=datetime(2024, 1, 1), quote_tie="quote_number")
@@ -48,6 +54,8 @@ PORTAL_SHOWN = (
     "expected_close_date",
     "last_modified_date",
 )
+UNIFIED_SHOWN = ("opportunity_id", "partner_account_name", "opportunity_owner_id", "is_clone", "expected_close_date", "migrated_to_vartopia")
+OBSERVED = ("dim_deal_registration", "dim_vartopia_deal_registration", "dim_unified_deal_registration")
 PORTAL_NAMES_SHOWN = ("partner_account_name", "distributor_account_name", "opportunity_owner_name")
 
 
@@ -55,6 +63,7 @@ class Frames:
     """Raw inputs and models over one test data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
         self.inputs = DerivedInputs(tune(spark), sf_dir, CFG)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -64,10 +73,10 @@ class Frames:
 
 
 def plain_numbers(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, so results compare by value and not by scale."""
+    """Decimals as text with 15 digits after the point, so results compare digit by digit at one scale."""
     return df.select(
         *[
-            F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
+            F.col(f.name).cast(quotes.WIDE_AMOUNT).cast("string").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
             for f in df.schema
         ]
     )
@@ -106,6 +115,45 @@ def unreadable_times(f: Frames) -> DataFrame:
     return unparsed_times(f["opportunity_field_history"], fields)
 
 
+def set_aside_counts(f: Frames) -> DataFrame:
+    """What a build that sets unreadable rows aside leaves out, over change histories that contain some."""
+    fields = contracts.parse_fields("old_value:time new_value:time created_date:time")
+    return conform.set_aside_counts(conform.set_aside_rows(f["opportunity_field_history"], fields))
+
+
+def readable_history(f: Frames) -> DataFrame:
+    """The rows such a build keeps, read strictly."""
+    fields = contracts.parse_fields("opportunity_id field_name old_value:time new_value:time")
+    history = f["opportunity_field_history"]
+    return conform.conform(conform.readable_rows(history, fields), fields)
+
+
+def source_scan(f: Frames) -> DataFrame:
+    """Rows per raw table, read as files below one path."""
+    tables = read_inputs(f.spark, base_path=f.sf_dir, names=[f"{t}.parquet" for t in TEST_TABLES])
+    counts = [df.agg(F.lit(name.removesuffix(".parquet")).alias("table_name"), F.count("*").alias("n_rows")) for name, df in tables.items()]
+    return reduce(DataFrame.unionAll, counts)
+
+
+def stored_registrations(f: Frames) -> DataFrame:
+    """The registrations from a stored build of one tag: views, tables rebuilt and read back, stored parts reused."""
+    store = TableStore(base_path=shared_folder(f.spark, "store"))
+    build_models(f.inputs, CFG, only=["dim_deal_registration", "dim_vartopia_deal_registration"], store=store)
+    built = build_models(f.inputs, CFG, only=["unified"], store=store)
+    return built["dim_unified_deal_registration"].select("source_system", "registration_id", *UNIFIED_SHOWN)
+
+
+def load_time(f: Frames) -> DataFrame:
+    """Without a fixed time, published rows carry the time of their query."""
+    people_now = build_models(f.inputs, replace(CFG, as_of=None), only=["dim_user"], columns={"dim_user": {"user_id", "edp_updated_at"}})
+    return people_now["dim_user"].select("user_id", (F.col("edp_updated_at") == F.current_timestamp()).alias("is_query_time"))
+
+
+def latest_by_content(f: Frames) -> DataFrame:
+    """Quote versions of equal age settled by their content alone: still one row per quote, of the newest age."""
+    return quotes.latest_quotes(f["quote"], replace(CFG, quote_tie=None)).select("quote_id", "system_modstamp", "created_date")
+
+
 def fallback_key(f: Frames) -> DataFrame:
     portal = registrations.conform_portal(f["salesforce_vartopiadrs__registration__c"], CFG)
     return portal.select("vartopia_registration_id", registrations.portal_dedupe_key().alias("dedupe_key"))
@@ -161,6 +209,10 @@ ROLE_NAMES = (
 )
 
 
+# Raw lookup inputs that hold several versions of a row, and their keys.
+VERSIONED_SIDES = {"user": "user_id", "recordtype": "record_type_id", "opportunity": "opportunity_id"}
+
+
 def role_lookup(f: Frames) -> DataFrame:
     return f["dim_deal_registration"].select("deal_registration_id", *ROLE_NAMES)
 
@@ -194,8 +246,9 @@ def exists_flag(f: Frames) -> DataFrame:
 
 
 def fan_out_guard(f: Frames) -> DataFrame:
-    """Lookup keys that would multiply rows: versions of an opportunity, as an example."""
-    return duplicate_keys(f["opportunity"], "opportunity_id")
+    """Lookup keys that would multiply rows, of every lookup the models make and of raw sides that keep versions."""
+    versions = {f"raw.{name}": Lookup(f[name], "", key, {}) for name, key in VERSIONED_SIDES.items()}
+    return duplicated_lookup_keys(lookup_sides(f.inputs, CFG) | versions)
 
 
 def task_without_record(f: Frames) -> DataFrame:
@@ -353,9 +406,21 @@ def checks_of(*kinds: str) -> Callable[[Frames], DataFrame]:
 
 
 def _report(f: Frames, kinds: Sequence[str] | None = None) -> DataFrame:
-    rules = [r for r in all_rules(CFG) if kinds is None or r.kind in kinds]
-    names = {r.model for r in rules} | {r.parent[0] for r in rules if r.parent} | {p for r in rules for p in r.parts}
-    return check_models(f.inputs, build_models(f.inputs, CFG, only=names & set(MODELS)), CFG, rules, compute_once=True)
+    return check_inputs(f.inputs, CFG, [r for r in all_rules(CFG) if kinds is None or r.kind in kinds])
+
+
+def dq_blocking(f: Frames) -> DataFrame:
+    """Report on the rules of one cadence."""
+    rules = select_rules(all_rules(CFG), cadence="dq_blocking")
+    return check_inputs(f.inputs, CFG, rules).select("model_name", "rule_name", "severity", "failures", "status")
+
+
+def dq_observed(f: Frames) -> DataFrame:
+    """Row rules of the stored registrations, counted while their tables are written."""
+    rules = [r for r in all_rules(CFG) if r.kind in (NOT_NULL, ACCEPTED_VALUES, EXPRESSION) and r.model in OBSERVED]
+    watch = RowRuleWatch(rules)
+    models = build_models(f.inputs, CFG, only=OBSERVED, store=TableStore(base_path=shared_folder(f.spark, "store")), watch=watch)
+    return check_models(f.inputs, models, CFG, rules, watch).select("model_name", "rule_name", "severity", "failures", "status")
 
 
 def dq_scorecard(f: Frames) -> DataFrame:
@@ -367,6 +432,12 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "rename_conform": rename_conform,
     "portal_staging": portal_staging,
     "unreadable_times": unreadable_times,
+    "set_aside_counts": set_aside_counts,
+    "readable_history": readable_history,
+    "source_scan": source_scan,
+    "stored_registrations": stored_registrations,
+    "load_time": load_time,
+    "latest_by_content": latest_by_content,
     "fallback_key": fallback_key,
     "surrogate_key": surrogate_keys,
     "strict_vs_lenient_delete": strict_vs_lenient_delete,
@@ -410,5 +481,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "dq_unique": checks_of(UNIQUE, UNIQUE_COMBINATION),
     "dq_relationships": checks_of(RELATIONSHIP),
     "dq_reconciliation": checks_of(ROW_COUNT),
+    "dq_blocking": dq_blocking,
+    "dq_observed": dq_observed,
     "dq_scorecard": dq_scorecard,
 }

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revmart.config import Config
 from revmart.functions.columns import blank_to_null, is_true, positive_amount, surrogate_key
-from revmart.operators.conform import project
-from revmart.operators.lookups import Lookup, enrich
+from revmart.operators.conform import narrowed, project
+from revmart.operators.lookups import Lookup, enrich, needed
 from revmart.operators.rollups import line_rollup
 from revmart.operators.unions import union_sources
 from revmart.operators.versions import current, latest_per_key, live
@@ -83,18 +83,29 @@ def _contract(text: str) -> list[str]:
 _MEASURES = frozenset(_contract(contracts.QUOTE_FACT)[_contract(contracts.QUOTE_FACT).index("acv") :])
 
 
+def quote_lookups(recordtype: DataFrame) -> list[Lookup]:
+    """Record type of a quote, retired ones too."""
+    return [Lookup(any_record_types(recordtype), "record_type_id", "record_type_id", {"record_type_name": "record_type_name"})]
+
+
 def build_dim_quote(
-    quotes: DataFrame, cpq: DataFrame, lines: DataFrame, recordtype: DataFrame, cfg: Config
+    quotes: DataFrame,
+    cpq: DataFrame,
+    lines: DataFrame,
+    recordtype: DataFrame,
+    cfg: Config,
+    columns: Collection[str] | None = None,
 ) -> DataFrame:
     """``quotes`` are the latest versions, ``lines`` the per-quote rollup."""
     contract = _contract(contracts.QUOTE_DIMENSION)
-    counted = quotes.join(lines.select("quote_id", "line_count"), "quote_id", "left")
+    is_counted = columns is None or "quote_line_count" in columns
+    counted = quotes.join(lines.select("quote_id", "line_count"), "quote_id", "left") if is_counted else quotes
     rca = _header(
         counted,
         contract,
         contracts.RCA_QUOTE_NAMES,
         ("discount_justification",),
-        rca_flags() | {"quote_line_count": F.coalesce(F.col("line_count"), F.lit(0))},
+        rca_flags() | {"quote_line_count": F.coalesce(F.col("line_count") if is_counted else F.lit(None), F.lit(0))},
     )
     second = live_cpq(cpq)
     cpq_side = _header(
@@ -105,18 +116,14 @@ def build_dim_quote(
         cpq_flags(WIDE_AMOUNT) | {"quote_line_count": F.col(contracts.CPQ_QUOTE_NAMES["quote_line_count"])},
     )
     both = union_sources({"RCA": rca, "CPQ": cpq_side})
-    step = Lookup(
-        any_record_types(recordtype),
-        "record_type_id",
-        "record_type_id",
-        {"record_type_name": "record_type_name"},
-    )
-    named = enrich(both, [step])
-    fields = contracts.published(contracts.QUOTE_DIMENSION, cfg)
+    named = enrich(both, needed(quote_lookups(recordtype), columns), guard=cfg.guard_lookups)
+    fields = narrowed(contracts.published(contracts.QUOTE_DIMENSION, cfg), columns)
     return project(named, fields, {"quote_unified_sk": surrogate_key("source_system", "quote_id")})
 
 
-def build_fct_quote(quotes: DataFrame, cpq: DataFrame, lines: DataFrame, cfg: Config) -> DataFrame:
+def build_fct_quote(
+    quotes: DataFrame, cpq: DataFrame, lines: DataFrame, cfg: Config, columns: Collection[str] | None = None
+) -> DataFrame:
     """``quotes`` are the latest versions, ``lines`` the per-quote rollup."""
     contract = _contract(contracts.QUOTE_FACT)
     rca = _header(quotes, contract, contracts.RCA_QUOTE_NAMES, (), rca_flags())
@@ -125,12 +132,11 @@ def build_fct_quote(quotes: DataFrame, cpq: DataFrame, lines: DataFrame, cfg: Co
         live_cpq(cpq), contract, contracts.CPQ_QUOTE_NAMES, contracts.CPQ_MISSING, cpq_flags(NARROW_AMOUNT) | zeros
     )
     both = union_sources({"RCA": rca, "CPQ": cpq_side})
-    joined = both.join(lines.select("quote_id", "any_refresh_line"), "quote_id", "left")
-    computed = {
-        "quote_unified_sk": surrogate_key("source_system", "quote_id"),
-        "has_refresh_quote_line": is_true("any_refresh_line"),
-    }
-    return project(joined, contracts.published(contracts.QUOTE_FACT, cfg), computed)
+    computed = {"quote_unified_sk": surrogate_key("source_system", "quote_id")}
+    if columns is None or "has_refresh_quote_line" in columns:
+        both = both.join(lines.select("quote_id", "any_refresh_line"), "quote_id", "left")
+        computed["has_refresh_quote_line"] = is_true("any_refresh_line")
+    return project(both, narrowed(contracts.published(contracts.QUOTE_FACT, cfg), columns), computed)
 
 
 def quote_lines(lines: DataFrame) -> DataFrame:

@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revmart.config import Config
 from revmart.functions.columns import fallback_key, is_true, proper_case
-from revmart.operators.conform import conform, project
-from revmart.operators.lookups import Lookup, enrich, presence
+from revmart.operators.conform import Field, conform, narrowed, project, readable_rows
+from revmart.operators.lookups import Lookup, enrich, needed, presence
 from revmart.operators.unions import union_sources
 from revmart.operators.versions import first_per_key, live
 from revmart.plans import contracts
 from revmart.plans.reference import accounts
 
 
+def _conformed(raw: DataFrame, fields: list[Field], cfg: Config) -> DataFrame:
+    return conform(readable_rows(raw, fields) if cfg.set_aside else raw, fields, cfg.lenient_times)
+
+
 def build_stg_legacy(raw: DataFrame, cfg: Config) -> DataFrame:
-    return conform(raw, contracts.legacy_staging(cfg), cfg.lenient_times)
+    return _conformed(raw, contracts.legacy_staging(cfg), cfg)
 
 
 def conform_portal(raw: DataFrame, cfg: Config) -> DataFrame:
     """Portal rows under their published names, without the migration flags."""
-    return conform(raw, contracts.portal_staging(cfg), cfg.lenient_times)
+    return _conformed(raw, contracts.portal_staging(cfg), cfg)
 
 
 def legacy_presence(stg_legacy: DataFrame) -> Lookup:
@@ -43,10 +49,8 @@ def build_stg_portal(raw: DataFrame, stg_legacy: DataFrame, cfg: Config) -> Data
     return flagged.select(*names[:at], *flags, *names[at:])
 
 
-def build_dim_legacy(
-    stg_legacy: DataFrame, account: DataFrame, contact: DataFrame, users: DataFrame, cfg: Config
-) -> DataFrame:
-    base = live(stg_legacy)
+def legacy_lookups(account: DataFrame, contact: DataFrame, users: DataFrame, cfg: Config) -> list[Lookup]:
+    """Names of the accounts, the contact and the users of a legacy registration."""
     org = cfg.org_prefix
     account_names = accounts(account)
 
@@ -56,18 +60,27 @@ def build_dim_legacy(
     def user_as(fk: str, alias: str) -> Lookup:
         return Lookup(users, fk, "user_id", {"user_name": alias})
 
-    named = enrich(
-        base,
-        [
-            account_as("partner_account_id", "partner_account_name"),
-            account_as("distributor_account_id", "distributor_account_name"),
-            Lookup(contact, f"{org}_contact_id", "contact_id", {"name": f"{org}_contact_name"}),
-            user_as("partner_sales_rep_id", "partner_sales_rep_name"),
-            user_as("distributor_rep_id", "distributor_rep_name"),
-            user_as("opportunity_owner", "opportunity_owner_name"),
-            user_as("opportunity_owner_rd", "opportunity_owner_rd_name"),
-        ],
-    )
+    return [
+        account_as("partner_account_id", "partner_account_name"),
+        account_as("distributor_account_id", "distributor_account_name"),
+        Lookup(contact, f"{org}_contact_id", "contact_id", {"name": f"{org}_contact_name"}),
+        user_as("partner_sales_rep_id", "partner_sales_rep_name"),
+        user_as("distributor_rep_id", "distributor_rep_name"),
+        user_as("opportunity_owner", "opportunity_owner_name"),
+        user_as("opportunity_owner_rd", "opportunity_owner_rd_name"),
+    ]
+
+
+def build_dim_legacy(
+    stg_legacy: DataFrame,
+    account: DataFrame,
+    contact: DataFrame,
+    users: DataFrame,
+    cfg: Config,
+    columns: Collection[str] | None = None,
+) -> DataFrame:
+    lookups = needed(legacy_lookups(account, contact, users, cfg), columns)
+    named = enrich(live(stg_legacy), lookups, ["deal_registration_id"], cfg.guard_lookups)
     trimmed = ("champion_contact_email", "champion_contact_phone", "company", "lead_owner_email")
     proper = ("champion_contact_first_name", "champion_contact_last_name")
     computed = (
@@ -75,7 +88,7 @@ def build_dim_legacy(
         | {name: proper_case(name) for name in proper}
         | {"current_user_id": F.col("current_user_id").cast("string"), "edp_updated_at": cfg.load_time()}
     )
-    return project(named, contracts.published(contracts.LEGACY_REGISTRATION, cfg), computed)
+    return project(named, narrowed(contracts.published(contracts.LEGACY_REGISTRATION, cfg), columns), computed)
 
 
 def portal_dedupe_key() -> Column:
@@ -102,34 +115,52 @@ def dedupe_portal(portal: DataFrame) -> DataFrame:
     return first_per_key(live(portal), [portal_dedupe_key()], order)
 
 
+def portal_lookups(account: DataFrame, users: DataFrame) -> list[Lookup]:
+    """Names of the accounts and the owner of a portal registration."""
+    account_names = accounts(account)
+    return [
+        Lookup(account_names, "partner_account_id", "account_id", {"account_name": "partner_account_name"}),
+        Lookup(account_names, "distributor_account_id", "account_id", {"account_name": "distributor_account_name"}),
+        Lookup(users, "opportunity_owner_id", "user_id", {"user_name": "opportunity_owner_name"}),
+    ]
+
+
 def build_dim_portal(
-    raw: DataFrame, stg_legacy: DataFrame, account: DataFrame, users: DataFrame, cfg: Config
+    raw: DataFrame,
+    stg_legacy: DataFrame,
+    account: DataFrame,
+    users: DataFrame,
+    cfg: Config,
+    columns: Collection[str] | None = None,
 ) -> DataFrame:
     """Survivors first, flags and names afterwards: neither influences which row survives."""
-    portal = conform_portal(raw, cfg)
-    account_names = accounts(account)
-    named = enrich(
-        dedupe_portal(portal),
-        [
-            legacy_presence(stg_legacy),
-            Lookup(account_names, "partner_account_id", "account_id", {"account_name": "partner_account_name"}),
-            Lookup(account_names, "distributor_account_id", "account_id", {"account_name": "distributor_account_name"}),
-            Lookup(users, "opportunity_owner_id", "user_id", {"user_name": "opportunity_owner_name"}),
-        ],
-    )
-    fields = contracts.published(contracts.PORTAL_REGISTRATION, cfg)
-    return project(named, fields, migration_flags() | {"edp_updated_at": cfg.load_time()})
+    flags = migration_flags()
+    lookups = needed(portal_lookups(account, users), columns)
+    if columns is None or not set(columns).isdisjoint(flags):
+        lookups = [legacy_presence(stg_legacy), *lookups]
+    named = enrich(dedupe_portal(conform_portal(raw, cfg)), lookups, ["vartopia_registration_id"], cfg.guard_lookups)
+    fields = narrowed(contracts.published(contracts.PORTAL_REGISTRATION, cfg), columns)
+    return project(named, fields, flags | {"edp_updated_at": cfg.load_time()})
+
+
+# What each system calls the unified registration id.
+UNIFIED_IDS = {"dim_deal_registration": "deal_registration_id", "dim_vartopia_deal_registration": "vartopia_registration_id"}
 
 
-def build_dim_unified(dim_legacy: DataFrame, dim_portal: DataFrame, cfg: Config) -> DataFrame:
+def build_dim_unified(
+    dim_legacy: DataFrame, dim_portal: DataFrame, cfg: Config, columns: Collection[str] | None = None
+) -> DataFrame:
     """Both systems under one contract; what a system lacks is NULL."""
-    contract = [f.name for f in contracts.published(contracts.UNIFIED_REGISTRATION, cfg)]
+    contract = [f.name for f in narrowed(contracts.published(contracts.UNIFIED_REGISTRATION, cfg), columns)]
 
     def side(df: DataFrame, registration_id: str) -> DataFrame:
         df = df.withColumnRenamed(registration_id, "registration_id")
         return df.select(*[c for c in contract if c in df.columns])
 
     both = union_sources(
-        {"LEGACY": side(dim_legacy, "deal_registration_id"), "VARTOPIA": side(dim_portal, "vartopia_registration_id")}
+        {
+            "LEGACY": side(dim_legacy, UNIFIED_IDS["dim_deal_registration"]),
+            "VARTOPIA": side(dim_portal, UNIFIED_IDS["dim_vartopia_deal_registration"]),
+        }
     )
     return both.select(*contract)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revmart.config import Config
 from revmart.functions.columns import blank_to_null, email_in_domain, proper_case
-from revmart.operators.conform import project
+from revmart.operators.conform import narrowed, project
 from revmart.operators.hierarchy import chain_depth, level_column, manager_chain, top_value, with_manager_flag
-from revmart.operators.lookups import Lookup, enrich
+from revmart.operators.lookups import Lookup, enrich, needed
 from revmart.operators.versions import current
 from revmart.plans import contracts
 
@@ -49,21 +51,30 @@ def people(user: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def build_dim_user(user: DataFrame, userrole: DataFrame, profile: DataFrame, cfg: Config) -> DataFrame:
-    base = people(user, cfg)
-    links = base.select("user_id", "manager_id", "user_name", "title")
-    chained = manager_chain(with_manager_flag(base), cfg.manager_levels)
+def user_lookups(users: DataFrame, userrole: DataFrame, profile: DataFrame) -> list[Lookup]:
+    """Names of a user's role, profile and vice president."""
     roles = current(userrole).select("userrole_id", blank_to_null("name").alias("user_role_name"))
     profiles = current(profile).select("profile_id", blank_to_null("name").alias("profile_name"))
-    named = enrich(
-        chained,
-        [
-            Lookup(roles, "user_role_id", "userrole_id", {"user_role_name": "user_role_name"}),
-            Lookup(profiles, "profile_id", "profile_id", {"profile_name": "profile_name"}),
-            Lookup(links, "vp_sales_id", "user_id", {"user_name": "vp_sales_name", "title": "vp_sales_title"}),
-        ],
-    )
+    links = users.select("user_id", "manager_id", "user_name", "title")
+    return [
+        Lookup(roles, "user_role_id", "userrole_id", {"user_role_name": "user_role_name"}),
+        Lookup(profiles, "profile_id", "profile_id", {"profile_name": "profile_name"}),
+        Lookup(links, "vp_sales_id", "user_id", {"user_name": "vp_sales_name", "title": "vp_sales_title"}),
+    ]
+
+
+def build_dim_user(
+    user: DataFrame, userrole: DataFrame, profile: DataFrame, cfg: Config, columns: Collection[str] | None = None
+) -> DataFrame:
+    base = people(user, cfg)
     levels = cfg.manager_levels
+    fields = narrowed(contracts.published(contracts.USER, cfg), columns)
+    lookups = needed(user_lookups(base, userrole, profile), columns)
+    own = {*base.columns, "has_manager_flag", "has_vp_sales_flag", "edp_updated_at"}
+    own |= {alias for step in lookups for alias in step.attrs.values()}
+    if any(f.name not in own for f in fields):  # manager columns
+        base = manager_chain(with_manager_flag(base), levels)
+    named = enrich(base, lookups, ["user_id"], cfg.guard_lookups)
     computed = {
         "direct_manager_name": F.col(level_column(1, "name")),
         "direct_manager_title": F.col(level_column(1, "title")),
@@ -74,4 +85,4 @@ def build_dim_user(user: DataFrame, userrole: DataFrame, profile: DataFrame, cfg
         "top_manager_title": top_value("title", levels),
         "edp_updated_at": cfg.load_time(),
     }
-    return project(named, contracts.published(contracts.USER, cfg), computed)
+    return project(named, fields, computed)

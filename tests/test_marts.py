@@ -3,13 +3,16 @@
 import pytest
 from compare import connect, difference
 from conftest import SF_DIR
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from revmart.operators.lineage import cut_lineage
-from revmart.operators.quality import enforce
+from revmart.operators.quality import ACCEPTED_VALUES, EXPRESSION, NOT_NULL, RowRuleWatch, enforce
 from revmart.plans.checks import all_rules, select_rules
-from revmart.plans.models import build_models, check_models
+from revmart.plans.models import build_models, check_inputs, check_models, lookup_sides, set_aside
+from revmart.sources import catalog
 from revmart.plans.queries import CFG, Frames
 from revmart.plans import quotes
 from revmart.plans.reference import accounts, any_record_types, record_types
@@ -65,6 +68,182 @@ def test_marts_without_broadcast(spark, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "Reused" not in x]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize(
+    ("model", "key"),
+    [("dim_deal_registration", "deal_registration_id"), ("dim_vartopia_deal_registration", "vartopia_registration_id")],
+)
+def test_role_lookups_move_the_wide_row_once(frames, no_broadcast, model, key):
+    """Without broadcasting, of all joins only the last one has the published row on a side."""
+    plan = frames[model]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert sum("Join LeftOuter" in x for x in plan) <= 2 and sum("_row_mark" in x and "LeftOuter" in x for x in plan) == 1
+
+
+def test_columns_prune_the_joins_that_supply_others(frames):
+    keys = {"dim_unified_deal_registration": {"registration_id", "opportunity_id"}, "dim_user": {"user_id"}, "dim_opportunity": {"opportunity_id"}}
+    narrow = build_models(frames.inputs, CFG, only=list(keys), columns=keys)
+    for name, columns in keys.items():
+        assert set(narrow[name].columns) == columns
+        assert "Join" not in narrow[name]._jdf.queryExecution().optimizedPlan().toString()
+        full = frames[name].select(*narrow[name].columns)
+        assert narrow[name].exceptAll(full).count() == full.exceptAll(narrow[name]).count() == 0
+    with pytest.raises(ValueError, match="all their columns"):
+        build_models(frames.inputs, CFG, columns=keys, store=TableStore(base_path="/nowhere"))
+
+
+def test_reference_checks_take_one_shuffle(frames):
+    rules = [r for r in all_rules(CFG) if r.kind == "relationships"]
+    found = check_inputs(frames.inputs, CFG, rules)
+    assert sum("parent#" in x for x in exchanges(found)) == 1
+    unique = check_inputs(frames.inputs, CFG, [r for r in all_rules(CFG) if r.kind.startswith("unique")])
+    assert sum("rule#" in x for x in exchanges(unique)) == 1
+
+
+def test_checks_start_no_job(spark, frames):
+    spark.sparkContext.setJobGroup("checking", "declaring checks")
+    try:
+        check_inputs(frames.inputs, CFG)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [k for i in tracker.getJobIdsForGroup("checking") for k in tracker.getJobInfo(i).stageIds]
+        names = {tracker.getStageInfo(k).name.split(" at ")[0] for k in stages}
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert names <= {"parquet"}
+
+
+def test_row_rules_are_counted_while_tables_are_written(spark, frames, tmp_path):
+    names = ["dim_deal_registration", "dim_user"]
+    rules = [r for r in all_rules(CFG) if r.kind in (NOT_NULL, ACCEPTED_VALUES, EXPRESSION) and r.model in names]
+    watch = RowRuleWatch(all_rules(CFG))
+    models = build_models(frames.inputs, CFG, only=names, store=TableStore(base_path=str(tmp_path / "out")), watch=watch)
+    seen = check_models(frames.inputs, models, CFG, rules, watch)
+    assert "FileScan" not in seen._jdf.queryExecution().executedPlan().toString()
+    plain = check_models(frames.inputs, models, CFG, rules)
+    order = lambda df: sorted(map(tuple, df.collect()))
+    assert order(seen) == order(plain) and len(rules) > 15
+
+
+def test_lookup_keys_are_unique_where_models_look(frames):
+    sides = lookup_sides(frames.inputs, CFG)
+    assert len(sides) == 18 and "dim_user.vp_sales_id" in sides
+    guarded = build_models(frames.inputs, replace(CFG, guard_lookups=True), only=["dim_opportunity"])["dim_opportunity"]
+    assert guarded.count() == frames["dim_opportunity"].count()
+
+
+def test_a_build_that_asks_for_it_fails_on_duplicated_keys(spark, frames):
+    account = frames["dim_account"]
+    inputs = {n: frames.inputs[n] for n in catalog.INPUTS} | {"dim_account": account.unionAll(account.limit(1))}
+    cfg = replace(CFG, guard_lookups=True)
+    with pytest.raises(Exception, match="occurs more than once"):
+        build_models(inputs, cfg, only=["dim_deal_registration"])["dim_deal_registration"].collect()
+
+
+def test_unreadable_registrations_are_set_aside(spark, frames, tmp_path):
+    raw = frames["deal_registration__c"]
+    broken = raw.limit(2).withColumn("createddate", F.lit("soon")).withColumn("expiration_date__c", F.lit("32.13.2024"))
+    inputs = {n: frames.inputs[n] for n in catalog.INPUTS} | {"deal_registration__c": raw.unionByName(broken)}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        build_models(inputs, CFG, only=["stg_deal_registration"])["stg_deal_registration"].collect()
+    cfg = replace(CFG, set_aside=True)
+    store = TableStore(base_path=str(tmp_path / "out"))
+    staged = build_models(inputs, cfg, only=["stg_deal_registration"], store=store)["stg_deal_registration"]
+    assert staged.count() == raw.count()
+    aside = store.read("stg_deal_registration_unreadable", "set_aside")
+    assert aside.count() == 2 and set(raw.columns) < set(aside.columns)
+    reasons = {tuple(v) for r in aside.collect() for v in r.unreadable_values}
+    assert reasons == {("created_date", "soon"), ("expiration_date", "32.13.2024")}
+    assert set_aside(frames.inputs, cfg)["stg_vartopia_deal_registration"].count() == 0
+
+
+def test_gold_tables_keep_their_declared_types(spark, frames, tmp_path):
+    store = TableStore(base_path=str(tmp_path / "out"))
+    drifted = frames["opportunity"].withColumn("created_date", F.col("created_date").cast("string"))
+    inputs = {n: frames.inputs[n] for n in catalog.INPUTS} | {"opportunity": drifted}
+    with pytest.raises(Exception, match="created_date"):
+        build_models(inputs, CFG, only=["dim_opportunity"], store=store)
+    assert store.read("dim_opportunity", "gold") is None
+
+
+def test_quotes_join_stored_buckets_without_a_shuffle(spark, frames, no_broadcast):
+    store = TableStore(namespace="default", buckets=4)
+    try:
+        models = build_models(frames.inputs, CFG, only=["int_latest_quote", "int_quote_lines"], store=store)
+        joined = models["int_latest_quote"].join(models["int_quote_lines"], "quote_id", "left")
+        assert not exchanges(joined) and joined.count() == models["int_latest_quote"].count()
+        dim = build_models(frames.inputs, CFG, only=["dim_quote_unified"], store=store)["dim_quote_unified"]
+        assert dim.count() == frames["dim_quote_unified"].count()
+    finally:
+        for name in ("int_latest_quote", "int_quote_lines", "dim_quote_unified"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_catalog_tables_survive_a_failed_write(spark):
+    store = TableStore(namespace="default")
+    try:
+        for n in (3, 4):
+            assert store.rebuild(spark.range(n), "swapped", "gold", bucket_by=["id"]).count() == n
+        with pytest.raises(Exception):
+            store.rebuild(spark.range(3).select(F.raise_error(F.lit("stop")).alias("id")), "swapped", "gold")
+        assert spark.table("swapped").count() == 4
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith("swapped")] == ["swapped"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS swapped")
+
+
+class FakeFolders:
+    """A file system whose renames fail in a chosen way: ``false`` answers, errors, or renames that only claim to be done."""
+
+    def __init__(self, folders, fails_on, how):
+        self.folders, self.fails_on, self.how = dict(folders), fails_on, how
+
+    def exists(self, path):
+        return path in self.folders
+
+    def delete(self, path, recursive):
+        return self.folders.pop(path, None) is not None
+
+    def rename(self, source, target):
+        if (source, target) == self.fails_on:
+            if self.how == "error":
+                raise OSError("no")
+            return self.how == "claims"
+        self.folders[target] = self.folders.pop(source)
+        return True
+
+
+@pytest.mark.parametrize("how", ["false", "error", "claims"])
+@pytest.mark.parametrize("fails_on", [("table", "old"), ("new", "table")])
+def test_a_failed_swap_keeps_the_old_table(how, fails_on):
+    fs = FakeFolders({"table": 1, "new": 2}, fails_on, how)
+    with pytest.raises((catalog.SwapError, OSError)):
+        catalog.swap(fs, "new", "table", "old")
+    assert fs.folders.get("table") == 1
+
+
+def test_swaps(spark):
+    fs = FakeFolders({"table": 1, "new": 2}, None, "")
+    catalog.swap(fs, "new", "table", "old")
+    assert fs.folders == {"table": 2}
+    fs = FakeFolders({"new": 2}, None, "")
+    catalog.swap(fs, "new", "table", "old")
+    assert fs.folders == {"table": 2}
+    fs = FakeFolders({"new": 2}, ("new", "table"), "false")
+    with pytest.raises(catalog.SwapError):
+        catalog.swap(fs, "new", "table", "old")
+
+
 def test_store_rebuilds_and_reads_back(spark, frames, tmp_path):
     names = ["dim_unified_deal_registration", "fct_quote_unified"]
     store = TableStore(base_path=str(tmp_path / "out"))

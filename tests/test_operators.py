@@ -7,7 +7,17 @@ from conftest import local_frame
 from pyspark.sql import functions as F
 
 from revmart.operators.hierarchy import chain_depth, level_column, manager_chain, top_value, with_manager_flag
-from revmart.operators.lookups import Lookup, duplicated_lookup_keys, enrich, exists_flag, value_map
+from revmart.operators.lookups import (
+    DuplicateLookupKeyError,
+    Lookup,
+    check_lookup_keys,
+    duplicated_lookup_keys,
+    enrich,
+    exists_flag,
+    fits_broadcast,
+    needed,
+    value_map,
+)
 from revmart.operators.rollups import bridged_max, change_rollup, distinct_count_rollup, line_rollup
 from revmart.operators.unions import union_sources
 from revmart.operators.versions import current, first_per_key, latest_per_key, live
@@ -116,8 +126,87 @@ def test_large_lookup_gives_the_same_rows(spark, no_broadcast):
 def test_duplicated_lookup_keys_are_reported(spark):
     twice = dimension(spark).union(local_frame(spark, [("k2", "Again"), (None, "None")], "pk string, name string"))
     sound = Lookup(dimension(spark), "other_fk", "pk", {"name": "second"})
-    found = duplicated_lookup_keys([Lookup(twice, "fk", "pk", {"name": "first"}), sound])
-    assert rows(found) == [("fk", "pk", "k2", 2)]
+    lookups = {"a": Lookup(twice, "fk", "pk", {"name": "first"}), "b": sound}
+    assert rows(duplicated_lookup_keys(lookups)) == [("a", "k2", 2)]
+    assert plan_of(duplicated_lookup_keys(lookups)).count("Exchange hashpartitioning") == 1
+    check_lookup_keys({"b": sound})
+    with pytest.raises(DuplicateLookupKeyError, match=r"a: k2 \(2 rows\)"):
+        check_lookup_keys(lookups)
+
+
+def roles_fact(spark):
+    """Rows with five references into two frames, some keys missing or repeated, some references without a match."""
+    key = F.when(F.col("id") % 11 == 0, None).otherwise(F.concat(F.lit("row"), F.col("id") % 250))
+    code = lambda n, m: F.when(F.col("id") % m != 0, F.concat(F.lit("k"), (F.col("id") * n % 13).cast("string")))
+    fact = spark.range(300).select(
+        key.alias("row_id"), *[code(n, n + 2).alias(f"fk{n}") for n in range(1, 5)], F.lit("hot").alias("fk5"), F.col("id").alias("payload")
+    )
+    return fact.unionAll(fact.where("payload < 20"))  # repeated rows
+
+
+def role_steps(spark):
+    names = local_frame(
+        spark, [(f"k{i}", f"Name {i}", i) for i in range(9)] + [("hot", "Hot", 99), ("k3", "Third again", 33), (None, "Nobody", 0)],
+        "pk string, name string, size int",
+    )
+    other = local_frame(spark, [(f"k{i}", f"Other {i}") for i in range(5)], "code string, label string")
+    return [
+        Lookup(names, "fk1", "pk", {"name": "first_name", "size": "first_size"}),
+        Lookup(names, "fk2", "pk", {"name": "second_name"}),
+        Lookup(other, "fk3", "code", {"label": "third_label"}),
+        Lookup(names, "fk4", "pk", {"size": "fourth_size"}),
+        Lookup(names, "fk5", "pk", {"name": "fifth_name"}),
+        Lookup(other, "third_label", "label", {"code": "back_again"}),
+    ]
+
+
+def test_unfolded_lookups_give_the_rows_of_joins(spark, no_broadcast):
+    """Repeated lookup keys multiply rows, repeated and missing row keys keep their own references."""
+    fact, steps = roles_fact(spark), role_steps(spark)
+    plain = enrich(fact, steps)
+    unfolded = enrich(fact, steps, ["row_id"])
+    assert unfolded.columns == plain.columns and unfolded.schema.simpleString() == plain.schema.simpleString()
+    assert rows(unfolded) == rows(plain) and len(rows(plain)) > 320
+    assert rows(enrich(fact, steps, ["row_id", "payload"])) == rows(plain)
+
+
+def test_unfolded_lookups_move_the_wide_row_once(spark, no_broadcast):
+    fact, steps = roles_fact(spark), role_steps(spark)[:5]
+    moved = lambda df: [x for x in plan_of(df).split("\n") if "Exchange hashpartitioning" in x]
+    assert plan_of(enrich(fact, steps)).count("SortMergeJoin") == 5 and len(moved(enrich(fact, steps))) == 10
+    plan = enrich(fact, steps, ["row_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2 and plan.count("Join LeftOuter") == 1
+
+
+def test_guarded_lookups_fail_on_repeated_keys(spark):
+    fact, steps = roles_fact(spark), role_steps(spark)
+    assert enrich(fact, [steps[2]], guard=True).count() == fact.count()
+    with pytest.raises(Exception, match="k3 occurs more than once"):
+        enrich(fact, [steps[0]], guard=True).collect()
+
+
+def test_guarded_shuffled_lookups_fail_without_another_shuffle(spark, no_broadcast):
+    fact, steps = roles_fact(spark), role_steps(spark)
+    for key in ([], ["row_id"]):
+        with pytest.raises(Exception, match="k3 occurs more than once"):
+            enrich(fact, steps, key, guard=True).collect()
+    count = lambda guard: plan_of(enrich(fact, [steps[2]], guard=guard)).count("Exchange hashpartitioning")
+    assert count(True) == count(False) == 2
+
+
+def test_sizes_are_asked_once(spark, monkeypatch):
+    from revmart.operators import lookups
+
+    dim = dimension(spark)
+    assert fits_broadcast(dim, ["pk", "name"])
+    monkeypatch.setattr(type(dim), "select", None)
+    assert lookups.estimated_bytes(dim, "pk", "name") > 0
+
+
+def test_lookups_that_find_nothing_wanted_are_left_out(spark):
+    steps = role_steps(spark)
+    assert needed(steps, None) == steps
+    assert needed(steps, {"second_name", "payload"}) == [steps[1]]
 
 
 def check_exists(spark):

@@ -42,7 +42,7 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 ODD_SPACE = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u3000\ufeff]|  |\n\n| \n|\n ")
 BLOCK = 1 << 16  # characters read at a time
 WINDOW = 1024  # bytes of a run that are merged at a time, besides the lookahead
-REMEMBERED = 1 << 18  # parts remembered per worker
+REMEMBERED = 1 << 16  # parts remembered per table; two generations of three tables take up to some 60 MB
 NONE = 1 << 62
 FOREVER = 1 << 40  # beyond any rank
 

@@ -9,10 +9,10 @@ Where the ranking stops is found without sorting a source: word counts are summe
 ranking, then in 4096 slices of the slice in which the target lies; only the rows of that slice of a slice
 (one in 16 million of a source) are ranked one by one.
 
-Defined cases: a null text has size 0; a null source is a source of its own, ranked last; rows with equal
-``doc_id`` share a random number and are ordered by size; equal rows are interchangeable; an empty table gives
-an empty result; a table without any word takes no words (targets 0); other columns are ignored, whatever
-their names.
+Defined cases: a null text has size 0; a null source is a source of its own, ranked last; a row without ``doc_id`` draws by
+its text; rows with equal ``doc_id``, or equal texts and none, share a random number and are ordered by size; equal rows are
+taken equally often; an empty table gives an empty result; a table without any word takes no words (targets 0); other
+columns come back as they are, whatever their names, but a column ``mix``, which :func:`mix_sources` replaces.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revmart.llm.common import word_count
+from revmart.llm.common import text_of, word_count
 from revmart.operators.lineage import cut_lineage
 
 SLICES = 4096
@@ -31,9 +31,14 @@ SLICES = 4096
 BROADCAST_SOURCES = 10_000
 
 
+def draw_key() -> Column:
+    """What a document's random number depends on: its id, or its text where it has none."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("~"), F.md5(text_of().cast("binary"))))
+
+
 def uniform(key: Column, seed: str) -> Column:
     """A number in (0, 1) that depends on the key and the seed alone (48 bits of an MD5 digest)."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), key.cast("string")).cast("binary"))
+    digest = F.md5(F.concat(F.lit(seed + ":"), key).cast("binary"))
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
@@ -90,14 +95,14 @@ def _if_few(per_source: DataFrame) -> DataFrame:
 
 
 def _ranked(docs: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
-    """``docs`` (source, size, doc_id and others) with their source's plan, rank among the drawn, and slices of the ranking.
+    """``docs`` (source, size, key and others) with their source's plan, rank among the drawn, and slices of the ranking.
 
     The plan has a row per source; it is broadcast if these are few, else Spark chooses the join.
     """
     side = _if_few(plan)
-    u = uniform(F.col("doc_id"), seed)
+    u = uniform(F.col("key"), seed)
     odds = (u / (1 - u)) / (F.col("_mix.p") / (1 - F.col("_mix.p")))
-    joined = docs.join(side, F.col("source").cast("string").eqNullSafe(F.col("_mix.source")), "inner")
+    joined = docs.join(side, F.col("source").eqNullSafe(F.col("_mix.source")), "inner")
     rank = F.col("_q") / (1 + F.col("_q"))
     return (
         joined.withColumn("_q", F.when(F.col("_mix.p") > 0, odds))
@@ -106,10 +111,14 @@ def _ranked(docs: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
     )
 
 
+def _narrow() -> list[Column]:
+    """What the mix reads of a document."""
+    return [F.col("source").cast("string").alias("source"), word_count().alias("size"), draw_key().alias("key")]
+
+
 def mixing_plan(docs: DataFrame, weights: Sequence[int], share: float, cap: float, seed: str) -> DataFrame:
     """One row per source, column ``_mix``: its targets, certain copies, probability, and where its ranking stops."""
-    narrow = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count().alias("size"))
-    sizes = cut_lineage(narrow)
+    sizes = cut_lineage(docs.select(*_narrow()))
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     targets = cut_lineage(
         source_targets(sizes, weights, share, cap)
@@ -120,7 +129,7 @@ def mixing_plan(docs: DataFrame, weights: Sequence[int], share: float, cap: floa
     drawn = (
         _ranked(sizes, targets.select(F.struct("*").alias("_mix")), seed)
         .where("_mix.p > 0")
-        .select("doc_id", "size", "_mix.place", "_mix.wanted", F.col("_q").alias("q"), F.col("_s1").alias("s1"), F.col("_s2").alias("s2"))
+        .select("key", "size", "_mix.place", "_mix.wanted", F.col("_q").alias("q"), F.col("_s1").alias("s1"), F.col("_s2").alias("s2"))
     )
     first = drawn.groupBy("place", "s1").agg(
         F.sum("size").alias("words"), F.first("wanted").alias("wanted"), F.lit(0).cast("long").alias("base")
@@ -131,7 +140,7 @@ def mixing_plan(docs: DataFrame, weights: Sequence[int], share: float, cap: floa
         F.sum("size").alias("words"), F.first("wanted").alias("wanted"), F.first("base").alias("base")
     )
     cut2 = cut_lineage(_crossing(second, "s2"))
-    in_order = Window.partitionBy("place").orderBy("q", "doc_id", "size")
+    in_order = Window.partitionBy("place").orderBy("q", "key", "size")
     before = F.coalesce(F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     last = (
         in_first.drop("base")
@@ -140,29 +149,24 @@ def mixing_plan(docs: DataFrame, weights: Sequence[int], share: float, cap: floa
         .withColumn("inside", F.col("base") + before + F.col("size") / 2 <= F.col("wanted"))
         .where("inside")
         .groupBy("place")
-        .agg(F.max(F.struct("q", "doc_id", "size")).alias("last"))
+        .agg(F.max(F.struct("q", "key", "size")).alias("last"))
     )
     cuts = cut1.drop("base").join(cut2.drop("base"), "place", "left").join(last, "place", "left")
     return cut_lineage(targets.join(cuts, "place", "left").select(F.struct("*").alias("_mix")))
 
 
-def mix_sources(
+def _mixed(
     docs: DataFrame,
     weights: Sequence[int] = (5, 2, 1),
     share: float = 1.5,
     cap: float = 2.0,
     seed: str = "mix",
 ) -> DataFrame:
-    """Every column of ``docs`` and ``mix``: a structure of ``size, source_size, target, copies, taken``.
-
-    ``copies`` is how often the mix takes the document, ``taken`` its words times copies.  The texts are not shuffled
-    unless there are more sources than may be broadcast.
-    """
+    """``row``, a structure of the columns of ``docs``, and ``mix``."""
     plan = mixing_plan(docs, weights, share, cap, seed)
-    names = [c for c in docs.columns if c != "mix"]
-    ranked = _ranked(docs.select(*names, word_count().alias("_size")), plan, seed)
+    ranked = _ranked(docs.select(F.struct(*docs.columns).alias("row"), *_narrow()), plan, seed)
     s1, s2 = F.col("_mix.cut_s1"), F.col("_mix.cut_s2")
-    own = F.struct(F.col("_q").alias("q"), F.col("doc_id"), F.col("_size").alias("size"))
+    own = F.struct(F.col("_q").alias("q"), F.col("key"), F.col("size"))
     ahead = (
         s1.isNull()
         | (F.col("_s1") < s1)
@@ -172,26 +176,36 @@ def mix_sources(
     extra = F.when((F.col("_mix.p") > 0) & F.coalesce(ahead, F.lit(False)), 1).otherwise(0)
     copies = F.col("_mix.whole") + extra
     mix = F.struct(
-        F.col("_size").alias("size"),
+        F.col("size"),
         F.col("_mix.source_size").alias("source_size"),
         F.col("_mix.target").alias("target"),
         copies.alias("copies"),
-        (copies * F.col("_size")).alias("taken"),
+        (copies * F.col("size")).alias("taken"),
     )
-    return ranked.select(*names, mix.alias("mix"))
+    return ranked.select("row", mix.alias("mix"))
+
+
+def mix_sources(docs: DataFrame, **settings) -> DataFrame:
+    """Every column of ``docs`` and ``mix``: a structure of ``size, source_size, target, copies, taken``.
+
+    ``copies`` is how often the mix takes the document, ``taken`` its words times copies.  The texts are not shuffled
+    unless there are more sources than may be broadcast.  Settings: ``weights, share, cap, seed``.
+    """
+    return _mixed(docs, **settings).select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "mix"], "mix")
 
 
 def repeated(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them."""
-    mixed = mix_sources(docs, **settings)
-    times = F.explode(F.array_repeat(F.lit(0), F.col("mix.copies").cast("int"))).alias("_time")
-    return mixed.select(*docs.columns, times).drop("_time")
+    times = F.explode(F.array_repeat(F.lit(0), F.col("mix.copies").cast("int"))).alias("time")
+    return _mixed(docs, **settings).select("row", times).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 #: The query's rows in DuckDB SQL: weights 5, 2, 1, share 1.5, cap 2, seed "mix".
 MIX_SQL = r"""
 WITH sizes AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    coalesce(CAST(doc_id AS VARCHAR), '~' || md5(coalesce(text, ''))) AS key
+  FROM documents
 ), per_source AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source
 ), placed AS (
@@ -215,10 +229,10 @@ WITH sizes AS (
 ), parts AS (
   SELECT *, CAST(floor(factor) AS BIGINT) AS whole, factor - floor(factor) AS p, target - floor(factor) * source_size AS wanted FROM factors
 ), drawn AS (
-  SELECT s.doc_id, s.size, t.*, (CAST(('0x' || substr(md5('mix:' || s.doc_id), 1, 12)) AS BIGINT) + 0.5::DOUBLE) / 281474976710656 AS u
+  SELECT s.doc_id, s.key, s.size, t.*, (CAST(('0x' || substr(md5('mix:' || s.key), 1, 12)) AS BIGINT) + 0.5::DOUBLE) / 281474976710656 AS u
   FROM sizes s JOIN parts t ON s.source IS NOT DISTINCT FROM t.source
 ), ranked AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id, size
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) / (p / (1 - p)), key, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM drawn
 )

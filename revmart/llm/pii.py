@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revmart.llm.common import stored
+from revmart.llm.common import stored, unused
 from revmart.operators.lineage import cut_lineage
 
 ROUNDS = 6
@@ -406,18 +406,19 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     odd = cut_lineage(exceptions(found, secret))
     plain = docs.drop("n_entities")
     names = plain.columns
+    known, of = unused("draws", plain), unused("of", plain)
     if odd.isEmpty():
-        joined = plain.withColumn("_draws", F.lit(None).cast("array<struct<kind:string,value:string,draw:int>>"))
+        joined = plain.withColumn(known, F.lit(None).cast("array<struct<kind:string,value:string,draw:int>>"))
     else:
         per_doc = found.join(odd, ["kind", "value"]).groupBy("doc_id")
-        draws = per_doc.agg(F.collect_set(F.struct("kind", "value", "draw")).alias("_draws")).withColumnRenamed("doc_id", "_of")
-        joined = plain.join(draws.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_of")), "left").select(*names, "_draws")
+        draws = per_doc.agg(F.collect_set(F.struct("kind", "value", "draw")).alias(known)).withColumnRenamed("doc_id", of)
+        joined = plain.join(draws, F.col("doc_id").eqNullSafe(F.col(of)), "left").select(*names, known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
             texts, counts = [], []
-            for text, draws in zip(batch.column(at).to_pylist(), batch.column("_draws").to_pylist()):
+            for text, draws in zip(batch.column(at).to_pylist(), batch.column(known).to_pylist()):
                 own = {(d["kind"], d["value"]): d["draw"] for d in draws or ()}
                 new, n = (None, 0) if text is None else rewrite(text, secret, own)
                 texts.append(new)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revmart.llm.common import text_of
+from revmart.llm.common import text_of, unused
 from revmart.llm.components import connected_components
 from revmart.operators.lineage import cut_lineage
 
@@ -56,15 +56,16 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """Return ``doc_id, fp`` (the fingerprint as a signed long) for every row."""
+    """Return ``doc_id, digest, fp`` (64 bits of the text's hash, the fingerprint as a signed long) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+            values = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64)
+            arrays = [batch.column(0), batch.column(1), pa.array(values.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "digest", "fp"])
 
-    narrow = docs.select("doc_id", text_of().alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    narrow = docs.select("doc_id", F.xxhash64(text_of()).alias("digest"), text_of().alias("text"))
+    return narrow.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, digest long, fp long")
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -119,7 +120,10 @@ def linked_fingerprints(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """Return ``doc_id, fp, component_id`` for every row; the smallest ``doc_id`` reachable names a component."""
+    """Return ``doc_id, fp, component_id, digest, root`` for every row.
+
+    The smallest ``doc_id`` reachable names a component; its smallest fingerprint, the root, tells components of one name apart.
+    """
     rows = cut_lineage(fingerprints(docs, shingle))
     distinct = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_doc")))
     links = linked_fingerprints(distinct.select("fp"), max_bits)
@@ -128,19 +132,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
         "fp", "first_doc", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    components = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(components, "fp").select("doc_id", "fp", "component_id")
+    components = rooted.join(named, "root").select("fp", "component_id", "root")
+    return rows.join(components, "fp").select("doc_id", "fp", "component_id", "digest", "root")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` names their component.
+    """One row of ``docs`` of each component: of the rows whose ``doc_id`` names it, those with the smallest text hash, once.
 
-    Of rows with equal ``doc_id`` one stays; rows with a null one all stay, since no component is theirs to name.
+    Rows of one id whose texts lie in different components are judged apart; rows with a null id all stay, since
+    no component is theirs to name.
     """
-    names = near_duplicates(docs, shingle, max_bits)
-    kept = names.where("doc_id = component_id").select("doc_id").distinct()
-    stays = docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stays.union(docs.where("doc_id IS NULL"))
+    digest = unused("digest", docs)
+    names = near_duplicates(docs, shingle, max_bits).where("doc_id = component_id")
+    kept = names.groupBy("doc_id", "root").agg(F.min("digest").alias(digest)).select("doc_id", digest)
+    keyed = docs.withColumn(digest, F.xxhash64(text_of()))
+    stays = keyed.join(kept, ["doc_id", digest], "left_semi").dropDuplicates(["doc_id", digest])
+    return stays.select(*docs.columns).union(docs.where("doc_id IS NULL"))
 
 
 def hex_digits(fp: Column) -> Column:

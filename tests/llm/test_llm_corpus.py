@@ -127,6 +127,36 @@ def test_mixing_targets(spark):
     assert [tuple(r) for r in mixing.mix_sources(none).select("mix.target", "mix.taken").collect()] == [(0.0, 0), (0.0, 0)]
 
 
+def test_rows_without_id_meet_the_targets(spark):
+    """Every ninth row has no id; sources still come near their targets, and reruns agree."""
+    texts = [" ".join([f"w{i}"] * (1 + i * 7 % 50)) for i in range(900)]
+    rows = [(None if i % 9 == 0 else i, t, f"s{i % 4}") for i, t in enumerate(texts)]
+    docs = local_frame(spark, rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs).select("doc_id", "source", "text", "mix.*").collect()
+    for source in {r["source"] for r in mixed}:
+        own = [r for r in mixed if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 50
+    again = mixing.mix_sources(docs.repartition(5)).select("doc_id", "source", "text", "mix.*").collect()
+    assert Counter(mixed) == Counter(again)
+    copies = local_frame(spark, [(None, "one two", "a")] * 300 + [(i, f"three {i}", "b") for i in range(300)], docs.schema.simpleString()[7:-1].replace(":", " "))
+    assert mixing.mix_sources(copies).count() == 600
+
+
+CLASHING = ("_q", "_s1", "_s2", "_size", "_mix", "_time", "_draws", "toxicity", "n_entities", "digest", "mix", "row", "key", "draws", "size", "p", "held")
+
+
+def test_extra_columns_come_back_from_every_stage(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c} of {r['doc_id']}" for r in rows for c in CLASHING), name
+    mixed = mixing.mix_sources(docs).drop("mix").collect()
+    assert all(r[c] == f"{c} of {r['doc_id']}" for r in mixed for c in CLASHING if c != "mix")
+
+
 def test_mixing_repeats_rows(spark):
     want = Counter()
     for r in mixing.mix_sources(awkward(spark)).collect():

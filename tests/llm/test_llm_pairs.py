@@ -47,12 +47,21 @@ def test_fingerprint_links_are_complete(spark, bits):
     assert got == want
 
 
+def test_simhash_judges_texts_of_one_id_apart(spark):
+    words = " ".join(f"w{i}" for i in range(200))
+    rows = [(5, words), (9, words), (9, "quite another text here"), (9, "quite another text here"), (7, "and a third one")]
+    kept = simhash.keep_one(local_frame(spark, rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == [(5, words), (7, "and a third one"), (9, "quite another text here")]
+
+
 def test_simhash_keeps_one_row_of_each_group(spark):
     rows = awkward_rows()
     kept = simhash.keep_one(awkward(spark))
     fps = [plain_fingerprint(r[1]) for r in rows]
     names = smallest_reachable([r[0] for r in rows], lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 2)
-    want = Counter({r[0] for r, c in zip(rows, names) if r[0] is not None and r[0] == c}) + Counter([None])
+    roots = smallest_reachable(fps, lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 2)
+    named = {(r[0], root) for r, c, root in zip(rows, names, roots) if r[0] is not None and r[0] == c}
+    want = Counter(i for i, _ in named) + Counter([None])
     assert Counter(r["doc_id"] for r in kept.select("doc_id").collect()) == want
     assert kept.columns == awkward(spark).columns
     assert simhash.keep_one(empty(spark)).count() == 0

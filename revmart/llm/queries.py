@@ -45,7 +45,7 @@ def op3_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(read_table(spark, sf_dir, "documents"), window=50)
-    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "n_repeated")
 
 
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

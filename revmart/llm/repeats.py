@@ -34,6 +34,8 @@ from revmart.llm.wordcodes import gram_codes, word_codes
 PREFIX = 8
 #: Entries of a prefix that a task handles in memory.
 GROUP = 20_000
+#: Windows whose anchors are looked for at once.
+ROWS = 1 << 15
 #: Bytes of text per step of a task (a longer text is a step of its own).
 STEP_BYTES = 1 << 20
 
@@ -61,10 +63,11 @@ class Windows:
         if not len(at):
             self.prefix = self.anchor = self.code = np.zeros(0, np.uint64)
             return
-        grams = gram_codes(codes, PREFIX)
-        width = window - PREFIX + 1
-        inside = np.lib.stride_tricks.sliding_window_view(grams, width)
-        self.anchor = at + inside[at].argmin(axis=1)
+        length = min(PREFIX, window)
+        grams = gram_codes(codes, length)
+        inside = np.lib.stride_tricks.sliding_window_view(grams, window - length + 1)
+        parts = [at[a : a + ROWS] + inside[at[a : a + ROWS]].argmin(axis=1) for a in range(0, len(at), ROWS)]
+        self.anchor = np.concatenate(parts)  # in parts, as each holds all codes of its windows
         self.prefix = grams[self.anchor]
         self.code = gram_codes(codes, window)[at]
 
@@ -135,7 +138,7 @@ def _paired(x: np.ndarray) -> np.ndarray:
 
 
 def _deep_nodes(entries: DataFrame, window: int) -> DataFrame:
-    """Spans ``doc_id, version, start, end`` of words under nodes that an earlier document has too.
+    """Spans ``doc_id, version, start, end, later`` of words under nodes of several documents; ``later``: an earlier one has them too.
 
     ``entries`` are dealt by prefix and sorted by it, so that every prefix is whole in one step.
     """
@@ -152,13 +155,17 @@ def _deep_nodes(entries: DataFrame, window: int) -> DataFrame:
         p, c = prefix[entry][order], code[order]
         node = np.zeros(len(order), np.int64)
         node[1:] = np.cumsum((np.diff(p) != 0) | (c[1:] != c[:-1]))
-        first_doc = np.full(node[-1] + 1 if len(node) else 0, np.iinfo(np.int64).max)
-        np.minimum.at(first_doc, node, doc[entry][order])
-        repeats = np.zeros(len(order), bool)
-        repeats[order] = first_doc[node] < doc[entry][order]
+        n, own = node[-1] + 1 if len(node) else 0, doc[entry][order]
+        first_doc, last_doc = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
+        np.minimum.at(first_doc, node, own)
+        np.maximum.at(last_doc, node, own)
+        repeats, later = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        repeats[order] = (first_doc < last_doc)[node]
+        later[order] = first_doc[node] < own
         at = np.nonzero(repeats)[0]
-        e, s = entry[at], place[at]
-        new = np.nonzero(np.concatenate(([True], (np.diff(e) != 0) | (np.diff(s) != 1))))[0] if len(at) else at
+        e, s, is_later = entry[at], place[at], later[at]
+        new = np.concatenate(([True], (np.diff(e) != 0) | (np.diff(s) != 1) | (np.diff(is_later.astype(np.int8)) != 0)))
+        new = np.nonzero(new)[0] if len(at) else at
         last = np.append(new[1:], len(at)) - 1 if len(at) else at
         rows = pa.array(e[new])
         arrays = [
@@ -166,8 +173,9 @@ def _deep_nodes(entries: DataFrame, window: int) -> DataFrame:
             table.column("version").take(rows).combine_chunks(),
             pa.array(s[new].astype(np.int32)),
             pa.array((s[last] + window).astype(np.int32)),
+            pa.array(is_later[new]),
         ]
-        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "version", "start", "end"])
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "version", "start", "end", "later"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -187,7 +195,7 @@ def _deep_nodes(entries: DataFrame, window: int) -> DataFrame:
         if rows:
             yield spans(pa.Table.from_batches(held))
 
-    return entries.mapInArrow(run, "doc_id long, version long, start int, end int")
+    return entries.mapInArrow(run, "doc_id long, version long, start int, end int, later boolean")
 
 
 def _large_nodes(entries: DataFrame, window: int) -> DataFrame:
@@ -207,14 +215,14 @@ def _large_nodes(entries: DataFrame, window: int) -> DataFrame:
     windows = entries.mapInArrow(unpack, "prefix long, doc_id long, version long, start int, code long")
     first = windows.groupBy("prefix", "code").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
     shared = first.where("first_doc < last_doc").select("prefix", "code", "first_doc")
-    found = windows.join(shared, ["prefix", "code"]).where("first_doc < doc_id")
-    return found.select("doc_id", "version", "start", (F.col("start") + window).alias("end"))
+    found = windows.join(shared, ["prefix", "code"])
+    return found.select("doc_id", "version", "start", (F.col("start") + window).alias("end"), (F.col("first_doc") < F.col("doc_id")).alias("later"))
 
 
 def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
-    """``doc_id, version, start, end``: word spans of ``docs`` (doc_id, version, text) that an earlier document has.
+    """``doc_id, version, start, end, later``: word spans of ``docs`` (doc_id, version, text) that another document has.
 
-    Spans of one text may overlap or touch.
+    ``later`` tells that an earlier document is among them.  Spans of one text may overlap or touch.
     """
     known = docs.where("doc_id IS NOT NULL")
     prefixes = stored(_prefixes(known, window))
@@ -229,7 +237,7 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     )
     wanted = stored(wanted)
     big = wanted.select(F.explode("big").alias("prefix")).distinct()
-    texts = known.join(wanted.select("doc_id", "version", "prefixes").hint("shuffle_hash"), ["doc_id", "version"])
+    texts = known.join(wanted.select("doc_id", "version", "prefixes"), ["doc_id", "version"])
     entries = stored(_entries(texts, window))
     small = entries.join(big, "prefix", "left_anti")
     large = entries.join(big, "prefix", "left_semi")
@@ -238,28 +246,40 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
-    """Return ``doc_id, n_words, n_removed, kept`` for every row; ``kept`` has the words left, joined by one space."""
+    """Return ``doc_id, n_words, n_removed, n_repeated, kept`` for every row.
+
+    ``kept`` has the words left, joined by one space; ``n_repeated`` counts the words of passages that another document has,
+    be it earlier or later.
+    """
     texts = docs.select("doc_id", F.xxhash64(text_of()).alias("version"), text_of().alias("text"))
     spans = stored(repeated_spans(texts, window))
-    per_text = spans.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    per_text = spans.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end", "later")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, n_removed, kept = [], [], []
+            n_words, n_removed, n_repeated, kept = [], [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 words = text.encode().split()
                 n_words.append(len(words))
+                n_repeated.append(0)
                 if found:
-                    covered = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(covered, [s["start"] for s in found], 1)
-                    np.add.at(covered, [s["end"] for s in found], -1)
-                    stays = np.cumsum(covered[:-1]) == 0
-                    words = [w for w, stay in zip(words, stays.tolist()) if stay]
+                    n_repeated[-1] = int(_covered(len(words), found).sum())
+                    goes = _covered(len(words), [s for s in found if s["later"]])
+                    words = [w for w, gone in zip(words, goes.tolist()) if not gone]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words))
-            arrays = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+            counts = [pa.array(c, pa.int64()) for c in (n_words, n_removed, n_repeated)]
+            names = ["doc_id", "n_words", "n_removed", "n_repeated", "kept"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(kept, pa.binary()).cast(pa.string())], names)
 
-    joined = texts.join(per_text.hint("shuffle_hash"), ["doc_id", "version"], "left").select("doc_id", "text", "spans")
+    joined = texts.join(per_text, ["doc_id", "version"], "left").select("doc_id", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    return joined.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, n_repeated long, kept string")
+
+
+def _covered(n: int, spans: list[dict]) -> np.ndarray:
+    """Whether each of ``n`` words lies in a span."""
+    change = np.zeros(n + 1, np.int32)
+    np.add.at(change, [s["start"] for s in spans], 1)
+    np.add.at(change, [s["end"] for s in spans], -1)
+    return np.cumsum(change[:-1]) > 0

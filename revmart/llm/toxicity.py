@@ -5,17 +5,20 @@ row are one unit (``s t u p i d``).  Two units are as similar as they share subs
 ends included, spread over at most seven places; every place left out costs a factor ``DECAY``, so inserted letters
 lower the similarity a little and leave it high.  The kernel is divided by norms that depend on the lengths alone.
 
-*Training.* A bounded sample of labelled documents is cut into sentences, and those into units; sentences have their
-document's label.  The landmarks are the units that tell the labels apart best, and frequent others.  In the landmarks' space
-(kernel matrix to the power -1/2) a linear machine with squared hinge loss separates units found mostly under label
-1 from the rest.  Its weights are folded back: the decision for a unit is the sum of one weight per subsequence, read from
-a table of ``2**20``, which is the same number as with the landmarks one by one.
+*Training.* Only whole documents have labels; the machine learns which of their units earn label 1, from a bounded sample.
+What a unit's document is labelled says little of a unit found in few; how surely it leans to label 1 is its log likelihood ratio ``e`` between the labels, and it counts
+``e / (e + EVIDENCE)`` squared of its documents of label 1 as an example of that label, the rest of all its documents as one of
+label 0.  So rare insults count too, the more the more often they are seen, and none is cut off.  The landmarks are the units that
+tell the labels apart best, and frequent others.  In the landmarks' space (kernel matrix to the power -1/2) a linear machine with squared
+hinge loss separates the examples.  Its weights are folded back: the decision for a unit is the sum of one weight per
+subsequence, read from a table, which is the same number as with the landmarks one by one.
 
 *Documents.* The highest unit decisions of a document (the first, the mean of the first three and eight), the logarithm
 of its number of units and the sum of positive decisions over the root of that number give its score by a logistic regression on the same sample.  Texts are scored whole.
 
-Bounds of the sample: at most ``SAMPLE`` documents of either label, each of at most ``LONGEST`` characters; scoring
-has no bounds.
+Bounds of the sample: at most ``SAMPLE`` documents of either label, drawn by a hash of their id, each of at most ``LONGEST`` characters,
+together of at most ``SAMPLE_CHARS``; of the units that do not lean to label 1, the ``RARE`` most frequent and as many others drawn by a
+hash, which then stand for all of them.  Scoring has no bounds.
 
 Defined cases: a null or empty text is scored as one without units; label rows with null and documents without a label are
 not learned from; repeated rows get the same score; an empty table gives an empty result; without labels of both kinds
@@ -24,8 +27,9 @@ every score is the share of label 1 (0 if there are none); other columns are ign
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
@@ -34,30 +38,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from revmart.llm.common import text_of
 
 SAMPLE = 2000
-LONGEST = 1 << 20
+LONGEST = 1 << 18
+SAMPLE_CHARS = 1 << 26
+RARE = 6000
 LANDMARKS = 256
 DECAY = 0.6
 REACH = 6
 #: Offsets of a subsequence's characters after the first, and its weight.
 PATTERNS = [(c, DECAY ** (c[2] - 3)) for c in combinations(range(1, REACH + 1), 3)]
-TABLE = 1 << 20
+#: Places of the table: one for every four letters of the Latin script, as many shared by those with other letters.
+LATIN, TABLE = 1 << 20, 1 << 21
 #: Units longer than this are scored in overlapping parts.
 PART = 24
 STEP_CHARS = 1 << 20
 #: Units of which variants with an inserted letter are learned too.
 VIRTUAL = 128
 TOP = 8
-#: A unit is an example of label 1 if its log rate ratio and its log likelihood ratio are above these.
-LEAN, EVIDENCE = 2.0, 25.0
+#: Documents of label 1 below which a unit is no example of it.
+LITTLE = 0.05
+#: Log likelihood ratio at which a quarter of a unit's documents of label 1 count as examples of it.
+EVIDENCE = 25.0
 
 
 @lru_cache(maxsize=1)
 def _alphabet() -> np.ndarray:
-    """Code of each character: 0 for white space, 1 to 26 for a to z, 27 to 31 for other letters, 255 for the rest."""
+    """Code of each character: 0 for white space, 1 to 26 for a to z, 27 to 31 for other Latin letters, 32 to 254 for those of other
+    scripts, 255 for the rest."""
     out = np.full(1 << 16, 255, np.uint8)
     for c in range(1 << 16):
         ch = chr(c)
@@ -66,7 +77,7 @@ def _alphabet() -> np.ndarray:
         elif "a" <= ch <= "z":
             out[c] = c - 96
         elif ch.isalpha():
-            out[c] = 27 + c % 5
+            out[c] = 27 + c % 5 if c < 0x250 else 32 + c % 223
     return out
 
 
@@ -90,7 +101,7 @@ def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def units(texts: list[str]) -> Units:
     lowered = [t.lower() for t in texts]
     points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(points < 1 << 16, _alphabet()[np.minimum(points, (1 << 16) - 1)], 27 + points % 5).astype(np.uint8)
+    codes = np.where(points < 1 << 16, _alphabet()[np.minimum(points, (1 << 16) - 1)], 32 + points % 223).astype(np.uint8)
     letters = codes != 255
     begins = np.cumsum([0, *[len(t) + 1 for t in lowered]])
     kept_before = np.concatenate(([0], np.cumsum(letters)))
@@ -122,10 +133,17 @@ def _subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, f
     zeros = np.nonzero(codes == 0)[0]
     nearest_end[: zeros[-1]] = zeros[np.searchsorted(zeros, np.arange(zeros[-1]), "right")]
     room = nearest_end - np.arange(n)
+    other = codes >= 32 if n and codes.max() >= 32 else None
     for (a, b, c), weight in PATTERNS:
         at = np.nonzero(room >= c)[0]
         at = at[at + c < n]
-        yield at, wide[at] << 15 | wide[at + a] << 10 | wide[at + b] << 5 | wide[at + c], weight
+        feature = wide[at] << 15 | wide[at + a] << 10 | wide[at + b] << 5 | wide[at + c]
+        if other is not None:
+            first, rest = wide[at].astype(np.uint64), (wide[at + a] << 16 | wide[at + b] << 8 | wide[at + c]).astype(np.uint64)
+            mixed = ((first << np.uint64(24) | rest) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+            fits = other[at] | other[at + a] | other[at + b] | other[at + c]
+            feature = np.where(fits, LATIN + mixed.astype(np.int32), feature)
+        yield at, feature, weight
 
 
 def _norms(longest: int) -> np.ndarray:
@@ -161,11 +179,16 @@ def _of(words: list[bytes]) -> Units:
 
 @dataclass
 class Machine:
-    """``table``: weight per subsequence; ``bias`` of a unit's decision; ``weights`` of a document's features."""
+    """``table``: weight per subsequence; ``bias`` of a unit's decision; ``weights`` of a document's features.
+
+    ``landmarks`` and ``coefficients`` are what the table is folded from.
+    """
 
     table: np.ndarray
     bias: float
     weights: np.ndarray
+    landmarks: Sequence[bytes] = ()
+    coefficients: np.ndarray | None = None
 
     def features(self, texts: list[str]) -> np.ndarray:
         u = units(texts)
@@ -222,20 +245,24 @@ def train(texts: list[str], labels: list[int]) -> Machine:
     q = np.array([seen[-1][w] for w in names], float)
     rate_p, rate_q = (p + 0.25) / (positive + 0.5), (q + 0.25) / (negative + 0.5)
     lean = np.log(rate_p / rate_q)
-    evidence = np.where(lean > LEAN, 2 * (p * lean - (p + q) * np.log1p((rate_p - rate_q) / (rate_p + rate_q))), 0.0)
+    evidence = np.where(lean > 0, 2 * (p * lean - (p + q) * np.log1p((rate_p - rate_q) / (rate_p + rate_q))), 0.0)
+    sure = (np.maximum(evidence, 0) / (np.maximum(evidence, 0) + EVIDENCE)) ** 2
     order = np.argsort(-evidence, kind="stable")
-    telling = [i for i in order[: LANDMARKS // 2] if evidence[i] > EVIDENCE]
+    telling = order[: LANDMARKS // 2].tolist()
     common = [i for i in np.argsort(-q, kind="stable") if lean[i] <= 1][: LANDMARKS - len(telling)]
     chosen = [names[i] for i in [*telling, *common]]
-    # Examples: every unit that surely leans to label 1, and of those that don't as many as a fixed bound allows.
-    toxic = np.nonzero(evidence > EVIDENCE)[0]
-    rest = np.nonzero((q > 0) & (evidence <= EVIDENCE))[0]
-    rest = rest[np.argsort(-q[rest], kind="stable")]
-    rest = np.concatenate((rest[:6000], rest[6000 :: max(1, len(rest) // 6000)]))
-    if not len(toxic):
-        toxic = order[: max(1, len(order) // 100)]
+    # Every unit is an example of label 1 as surely as it leans to it, and of label 0 for the rest; of units with little
+    # to say for label 1 some stand for all.
+    toxic = np.nonzero(p * sure > LITTLE)[0]
+    rest = np.argsort(-(p * (1 - sure) + q), kind="stable")
+    other = rest[RARE:]
+    drawn = other[np.argsort([zlib.crc32(names[i]) for i in other], kind="stable")[:RARE]] if len(other) else other
+    stands_for = np.concatenate((np.ones(min(RARE, len(rest))), np.full(len(drawn), len(other) / max(1, len(drawn)))))
+    rest = np.concatenate((rest[:RARE], drawn))
     examples = np.concatenate((toxic, rest))
     target = np.concatenate((np.ones(len(toxic)), -np.ones(len(rest))))
+    share_1 = p[toxic] * sure[toxic]
+    share_0 = (p * (1 - sure) + q)[rest] * stands_for
 
     marks = _of(chosen)
     columns, inverse, mark_of, weights = _landmark_features(marks)
@@ -258,19 +285,20 @@ def train(texts: list[str], labels: list[int]) -> Machine:
     value, vector = np.linalg.eigh(kernel(chosen) + 1e-6 * np.eye(len(chosen)))
     root = vector / np.sqrt(np.maximum(value, 1e-6)) @ vector.T
     words = [names[i] for i in examples]
-    per_example = np.where(target > 0, p[examples] / max(1.0, p[toxic].sum()), q[examples] / max(1.0, q[rest].sum()))
+    total = max(1e-9, share_1.sum())
+    per_example = np.concatenate((share_1 / total, share_0 / max(1e-9, share_0.sum())))
     # Virtual examples: the most telling units with one letter inserted count half as much as the units themselves.
     for i in telling[:VIRTUAL]:
         inserted = _inserted(names[i])
         words += inserted
         target = np.concatenate((target, np.ones(len(inserted))))
-        share = 0.5 * p[i] / max(1.0, p[toxic].sum()) / max(1, len(inserted))
+        share = 0.5 * p[i] * sure[i] / total / max(1, len(inserted))
         per_example = np.concatenate((per_example, np.full(len(inserted), share)))
     blocks = [kernel(words[a : a + 1000]) @ root for a in range(0, len(words), 1000)]
     solved = _newton(np.vstack(blocks), target, per_example * len(words) / 2, True, 0.1)
     table = np.zeros(TABLE, np.float32)
     table[columns] = matrix @ (root @ solved[:-1])
-    machine = Machine(table, float(solved[-1]), np.zeros(6))
+    machine = Machine(table, float(solved[-1]), np.zeros(6), chosen, root @ solved[:-1])
     found = np.vstack([machine.features(texts[a : a + 100]) for a in range(0, len(texts), 100)])
     machine.weights = _newton(found, y, np.ones(len(y)), False, 0.1)
     return machine
@@ -304,8 +332,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     parts = [one_each.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     chosen = parts[0].union(parts[1])
     texts = docs.select("doc_id", text_of().alias("text")).where(F.length("text") <= LONGEST)
-    joined = texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text")  # at most 2 * sample rows to join with
-    rows = joined.limit(4 * sample).toArrow()
+    # At most 2 * sample rows to join with, and one text of each: of rows with one id the first in order.
+    joined = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    in_order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    rows = joined.withColumn("chars", F.sum(F.length("text")).over(in_order)).where(F.col("chars") <= SAMPLE_CHARS).orderBy("doc_id").toArrow()
     return train(rows.column("text").to_pylist(), rows.column("toxic").to_pylist())
 
 

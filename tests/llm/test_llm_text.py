@@ -78,32 +78,49 @@ def test_bpe_frames(spark, library):
 
 
 def plain_repeats(rows, window=50):
-    first = {}
+    first, last = {}, {}
     for i, text in rows:
         words = (text or "").encode().split()
         for p in range(len(words) - window + 1 if i is not None else 0):
             key = tuple(words[p : p + window])
             first[key] = min(first.get(key, i), i)
+            last[key] = max(last.get(key, i), i)
     out = []
     for i, text in rows:
         words = (text or "").encode().split()
-        gone = set()
+        gone, shared = set(), set()
         for p in range(len(words) - window + 1 if i is not None else 0):
-            if first[tuple(words[p : p + window])] < i:
+            key = tuple(words[p : p + window])
+            if first[key] < i:
                 gone.update(range(p, p + window))
-        out.append((i, len(words), len(gone), b" ".join(w for p, w in enumerate(words) if p not in gone).decode()))
+            if first[key] < last[key]:
+                shared.update(range(p, p + window))
+        out.append((i, len(words), len(gone), len(shared), b" ".join(w for p, w in enumerate(words) if p not in gone).decode()))
     return Counter(out)
 
 
-@pytest.mark.parametrize("group", [2, 20_000])
-def test_repeats_against_all_windows(spark, monkeypatch, group):
+@pytest.mark.parametrize(("group", "window"), [(2, 50), (20_000, 50), (20_000, 3), (2, 8), (20_000, 9)])
+def test_repeats_against_all_windows(spark, monkeypatch, group, window):
     monkeypatch.setattr(repeats, "GROUP", group)
+    monkeypatch.setattr(repeats, "ROWS", 1000)
     passages = sentences(7, 3, 70)
     fresh = sentences(8, 30, 90)
     rows = [(100 + i, t + " " + passages[i % 3] + " " + t[::-1]) for i, t in enumerate(fresh)]
     own = [(r[0], r[1]) for r in awkward_rows()] + rows
     frame = local_frame(spark, own, "doc_id long, text string").unionByName(awkward(spark).limit(0), allowMissingColumns=True)
-    assert Counter(map(tuple, repeats.remove_repeats(frame).collect())) == plain_repeats(own)
+    assert Counter(map(tuple, repeats.remove_repeats(frame, window).collect())) == plain_repeats(own, window)
+
+
+def test_windows_of_a_long_text_take_little_memory():
+    import tracemalloc
+
+    rng = random.Random(1)
+    text = " ".join(f"w{rng.randrange(1 << 30)}" for _ in range(300_000))
+    tracemalloc.start()
+    windows = repeats.Windows([text], 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(windows.code) == 300_000 - 49 and peak < 80 * len(text)
 
 
 def test_repeats_of_nothing(spark):
@@ -123,6 +140,30 @@ def test_surrogates_keep_type_and_form():
     assert pii.rewrite(text, key, {}) == (new, n) != pii.rewrite(text, b"l" * 32, {})
 
 
+PLAIN_EMAIL = __import__("re").compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")
+PLAIN_ADDRESS = __import__("re").compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.])")
+
+
+@pytest.mark.parametrize("pattern", [PLAIN_EMAIL, PLAIN_ADDRESS], ids=["email", "ip"])
+def test_surrogates_of_a_table_are_a_one_to_one_map(spark, pattern):
+    """Judged by patterns of its own: no value stays, equal values become equal, different ones different, forms stay."""
+    sf = "/root/testdata/sf0.01"
+    before = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    after = {r["doc_id"]: r["text"] or "" for r in QUERIES["op5_surrogates"](spark, sf).collect()}
+    found, given = {}, set()
+    for i, text in before.items():
+        old, new = pattern.findall(text), pattern.findall(after[i])
+        assert len(old) == len(new)
+        for a, b in zip(old, new):
+            a, b = a.strip(".").lower(), b.strip(".").lower()
+            given.add(a)
+            assert found.setdefault(a, b) == b
+            kinds = lambda x: "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in x)
+            assert pattern is PLAIN_ADDRESS or kinds(a.split("@")[0]) == kinds(b.split("@")[0])
+    assert len(found) > 20 and len(set(found.values())) == len(found) and not given & set(found.values())
+    assert all(before[i] == after[i] for i in before if not pii.find_entities(before[i]))
+
+
 def test_names_keep_gender_script_and_reference():
     new, n = pii.rewrite("Mr. John Smith met Mrs Smith, г-жа Анна Петрова.", b"k" * 32, {})
     words = new.replace(",", "").replace(".", "").split()
@@ -180,6 +221,64 @@ def test_toxicity_on_held_out_documents(spark):
         assert machine.features([inserted])[0][0] > clean + 0.4 * (plain - clean)
 
 
+def labelled_texts():
+    """Clean texts, texts with a common insult, and six with a rare one."""
+    texts = sentences(21, 606, 40)
+    insulting = [f"{text} {'blockhead' if i < 200 else 'grobnik'} {text}" for i, text in enumerate(texts[400:])]
+    return texts[:400] + insulting, [0] * 400 + [1] * 206
+
+
+def plain_features(unit):
+    marked = [0, *unit, 0]
+    out = Counter()
+    for (a, b, c), weight in toxicity.PATTERNS:
+        for i in range(len(marked) - c):
+            out[(marked[i], marked[i + a], marked[i + b], marked[i + c])] += weight
+    norm = sum(w * w * max(0, len(unit) + 2 - c[2]) for c, w in toxicity.PATTERNS)
+    return out, max(norm, 1.0) ** 0.5
+
+
+def plain_kernel(u, v):
+    (x, n), (y, m) = plain_features(u), plain_features(v)
+    return sum(w * y[f] for f, w in x.items()) / n / m
+
+
+def test_folded_decisions_equal_the_kernel_over_landmarks():
+    machine = toxicity.train(*labelled_texts())
+    assert len(machine.landmarks) == len(machine.coefficients) > 50
+    for word in ("blockhead", "blocxkhead", "the", "grobnik", "ingly", "unseen", "éclair", "приветик"):
+        unit = toxicity.units([word]).codes.tobytes()[1:-1]
+        plain = sum(c * plain_kernel(unit, mark) for c, mark in zip(machine.coefficients, machine.landmarks))
+        (folded,) = toxicity.unit_decisions(toxicity.units([word]), machine.table)
+        assert folded == pytest.approx(plain, abs=2e-4)
+
+
+def test_rare_insults_are_learned_from_too():
+    texts, labels = labelled_texts()
+    machine = toxicity.train(texts, labels)
+    decision = lambda word: machine.features([word])[0][0]
+    ordinary = max(decision(w) for w in set(" ".join(texts).split()) - {"blockhead", "grobnik"})
+    assert decision("blockhead") > decision("grobnik") > ordinary + 0.2
+    assert machine.scores(["and so the grobnik went"])[0] > machine.scores(["and so the ingly went"])[0]
+
+
+def test_letters_of_other_scripts_have_their_own_codes():
+    codes = toxicity.units(["привет", "プログラム"])
+    assert len(set(codes.codes.tolist())) > 9 and codes.codes[1:3].min() >= 32
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    docs = local_frame(spark, [(i % 50, "x" * 400 + f" w{i}") for i in range(400)], "doc_id long, text string")
+    labels = local_frame(spark, [(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: seen.append((texts, y)))
+    toxicity.fit(docs, labels, sample=10)
+    assert len(seen[-1][0]) <= 20 and len(set(seen[-1][1])) == 2  # one text of each document
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 2000)
+    toxicity.fit(docs, labels, sample=10)
+    assert sum(map(len, seen[-1][0])) <= 2000 and seen[-1][0]
+
+
 def test_toxicity_frames(spark):
     docs, labels = spark.read.parquet(f"{SF_DIR}/documents.parquet"), spark.read.parquet(f"{SF_DIR}/labels.parquet")
     machine = toxicity.fit(docs, labels)

@@ -2,12 +2,13 @@
 
 Found are e-mail addresses, phone numbers (international, with an area code in parentheses, in groups of three, three and
 four digits, or with a leading 0), IPv4 addresses, card numbers, social security numbers, secrets (after a word like token
-and = or :, quoted or not; long hexadecimal strings; tokens with a known prefix), the names after a title, and every
+and = or :, quoted or not; long hexadecimal strings; tokens with a known prefix; card numbers have a right check digit or stand in
+groups), the names after a title, and every
 other capitalised mention of those names in the same document.
 
 A surrogate is a keyed permutation of the characters' places in their alphabets (a Feistel network over symbols of
 different radix): a digit stays a digit, a letter a letter of its script and case, an octet an octet of as many digits,
-a card number keeps its check digit right or wrong, country codes and top-level domains stay.  So different values of
+a card number keeps its check digit right or wrong, country codes, top-level and reserved domains stay.  So different values of
 one form always get different surrogates.  A value gets the same one everywhere: addresses, names and hexadecimal
 strings are compared in small letters, phone, card and social security numbers by their digits (and a leading +), and each
 occurrence gets its own case and separators back.  Names are built from syllables of their script; given names end as
@@ -197,7 +198,7 @@ def find_entities(text: str) -> list[Entity]:
         add(m.start(m.lastgroup), m.end(m.lastgroup), "secret")
     if re.search(r"[0-9]", text):
         for m in NUMBERS.finditer(text):
-            if m.lastgroup != "ip" or all(int(x) < 256 and x == str(int(x)) for x in m[0].split(".")):
+            if HOLDS.get(m.lastgroup, bool)(m[0]):
                 add(m.start(), m.end(), m.lastgroup)
     if any(title in text for title in TITLES):
         found += _names(text)
@@ -267,11 +268,27 @@ def check_digit(digits: list[int]) -> int:
     return -sum(doubled) % 10
 
 
+def _is_address(text: str) -> bool:
+    return all(int(x) < 256 and x == str(int(x)) for x in text.split("."))
+
+
+def _is_card(text: str) -> bool:
+    """Whether the check digit is right, or the digits stand in groups; other long runs are numbers of any kind."""
+    digits = [int(c) for c in text if c.isdigit()]
+    return len(digits) < len(text) or check_digit(digits[:-1]) == digits[-1]
+
+
+#: What a number of a kind has to be beside its form.
+HOLDS = {"ip": _is_address, "card": _is_card}
+# Names reserved for examples and tests (RFC 2606), which are nobody's.
+RESERVED = ("example", "test", "invalid", "localhost")
+
+
 def _email(value: str, key: bytes, tweak: str, draw: int) -> str:
     name, host = value.split("@")
     labels = host.split(".")
     new_host = [_by_alphabet(x, _usual(x), key, "host") for x in labels[:-2]] or []
-    if len(labels) == 2 or labels[-2] != "example":
+    if len(labels) == 2 or labels[-2] not in RESERVED:
         new_host.append(_by_alphabet(labels[-2], _usual(labels[-2]), key, "domain"))
     else:
         new_host.append(labels[-2])

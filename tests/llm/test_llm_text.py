@@ -140,6 +140,12 @@ def test_surrogates_keep_type_and_form():
     assert pii.rewrite(text, key, {}) == (new, n) != pii.rewrite(text, b"l" * 32, {})
 
 
+def test_long_numbers_are_cards_by_their_check_digit_or_groups():
+    kinds = lambda text: [e.kind for e in pii.find_entities(text)]
+    assert kinds("pay 4845168114407329 now") == ["card"] and kinds("order 4845168114407328 now") == []
+    assert kinds("4845 1681 1440 7328") == ["card"] and kinds("no 9807915762804491, 12345678901234567") == []
+
+
 PLAIN_EMAIL = __import__("re").compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")
 PLAIN_ADDRESS = __import__("re").compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.])")
 

@@ -166,7 +166,7 @@ def test_surrogates_of_a_table_are_a_one_to_one_map(spark, pattern):
             assert found.setdefault(a, b) == b
             kinds = lambda x: "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in x)
             assert pattern is PLAIN_ADDRESS or kinds(a.split("@")[0]) == kinds(b.split("@")[0])
-    assert len(found) > 20 and len(set(found.values())) == len(found) and not given & set(found.values())
+    assert len(found) > 5 and len(set(found.values())) == len(found) and not given & set(found.values())
     assert all(before[i] == after[i] for i in before if not pii.find_entities(before[i]))
 
 

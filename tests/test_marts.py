@@ -182,6 +182,10 @@ def test_quotes_join_stored_buckets_without_a_shuffle(spark, frames, no_broadcas
         models = build_models(frames.inputs, CFG, only=["int_latest_quote", "int_quote_lines"], store=store)
         joined = models["int_latest_quote"].join(models["int_quote_lines"], "quote_id", "left")
         assert not exchanges(joined) and joined.count() == models["int_latest_quote"].count()
+        lazy = quotes.build_dim_quote(
+            models["int_latest_quote"], frames["sbqq__quote__c"], models["int_quote_lines"], frames["recordtype"], CFG
+        )
+        assert not [x for x in exchanges(lazy) if "quote_id" in x]
         dim = build_models(frames.inputs, CFG, only=["dim_quote_unified"], store=store)["dim_quote_unified"]
         assert dim.count() == frames["dim_quote_unified"].count()
     finally:

@@ -241,7 +241,9 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     entries = stored(_entries(texts, window))
     small = entries.join(big, "prefix", "left_anti")
     large = entries.join(big, "prefix", "left_semi")
-    small = small.repartition("prefix").sortWithinPartitions("prefix")
+    # Dealt by a code of the prefix: Spark leaves out a repartition by the key that the join before it was dealt by, and when that
+    # join becomes a broadcast at run time it no longer deals its rows by the key.
+    small = small.repartition(F.xxhash64("prefix")).sortWithinPartitions("prefix")
     return _deep_nodes(small, window).union(_large_nodes(large, window))
 
 

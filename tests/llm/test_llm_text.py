@@ -111,6 +111,22 @@ def test_repeats_against_all_windows(spark, monkeypatch, group, window):
     assert Counter(map(tuple, repeats.remove_repeats(frame, window).collect())) == plain_repeats(own, window)
 
 
+def test_repeats_where_joins_turn_into_broadcasts_at_run_time(spark):
+    """Entries stay dealt by prefix when adaptive execution replaces the shuffled join before."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m"}
+    before = {k: spark.conf.get(k, None) for k in confs}
+    passages = sentences(7, 40, 70)
+    rows = [(i, f"{t} {passages[i % 40]}") for i, t in enumerate(sentences(9, 400, 60))]
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        frame = local_frame(spark, rows, "doc_id long, text string").repartition(8, "doc_id")
+        assert Counter(map(tuple, repeats.remove_repeats(frame).collect())) == plain_repeats(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_windows_of_a_long_text_take_little_memory():
     import tracemalloc
 

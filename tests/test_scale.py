@@ -46,3 +46,20 @@ def test_wide_portal_rows_meet_their_narrow_survivors(spark):
         assert Counter(found.collect()) == Counter(expected.collect())
     finally:
         spark.conf.set(THRESHOLD, before)
+
+
+def test_users_broadcast_for_every_level_fit_together(spark):
+    """Users that fit once, but not once per level, are not broadcast; ended chains and missing managers stay as they are."""
+    people = [(f"u{i}", None if i % 10 == 0 else f"u{i // 2}", f"n{i}", f"t{i}") for i in range(1, 400) if i % 17]
+    users = local_frame(spark, people, "user_id string, manager_id string, user_name string, title string")
+    size = estimated_bytes(users, "manager_id", "user_id", "user_name", "title")
+    before = spark.conf.get(THRESHOLD)
+    try:
+        spark.conf.set(THRESHOLD, str(40 * size))
+        by_level = manager_chain(users, 7).collect()
+        spark.conf.set(THRESHOLD, str(4 * size))
+        chained = manager_chain(users, 7)
+        assert "BroadcastHashJoin" not in plan_of(chained)
+        assert Counter(chained.select(*by_level[0].asDict()).collect()) == Counter(by_level)
+    finally:
+        spark.conf.set(THRESHOLD, before)

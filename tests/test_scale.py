@@ -48,6 +48,15 @@ def test_wide_portal_rows_meet_their_narrow_survivors(spark):
         spark.conf.set(THRESHOLD, before)
 
 
+def test_larger_tables_are_widened_in_more_tasks(spark, monkeypatch):
+    table = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    monkeypatch.setattr(derived, "SPREAD_FROM", 0)
+    monkeypatch.setattr(derived, "SPREAD_PART", estimated_bytes(table) // 50)
+    spread = derived.spread(table)
+    assert spread.rdd.getNumPartitions() >= 50 > spark.sparkContext.defaultParallelism
+    assert spread.count() == table.count()
+
+
 def test_users_broadcast_for_every_level_fit_together(spark):
     """Users that fit once, but not once per level, are not broadcast; ended chains and missing managers stay as they are."""
     people = [(f"u{i}", None if i % 10 == 0 else f"u{i // 2}", f"n{i}", f"t{i}") for i in range(1, 400) if i % 17]

@@ -1,9 +1,8 @@
 """BPE, repeats, personal data and toxicity."""
 
 import hashlib
-import os
 import random
-import zlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -245,18 +244,17 @@ def test_toxicity_on_held_out_documents(spark):
         assert machine.features([inserted])[0][0] > clean + 0.4 * (plain - clean)
 
 
-def test_toxicity_is_learned_in_a_task(spark, monkeypatch):
-    """The driver gets the machine, which is the one learned from the sample in order of the ids; the texts stay in the task."""
-    rows = [(i, text, label) for i, (text, label) in enumerate(zip(*labelled_texts()))]
-    docs = local_frame(spark, [r[:2] for r in rows] + [(None, "x"), (3, "zzz")], "doc_id long, text string").repartition(5)
-    labels = local_frame(spark, [(r[0], r[2]) for r in rows] + [(3, rows[3][2]), (4, None)], "doc_id long, toxic int").repartition(3)
-    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
-    ours, plain = toxicity.fit(docs, labels), toxicity.train([min(r[1], "zzz") if r[0] == 3 else r[1] for r in learned], [r[2] for r in learned])
-    assert list(ours.landmarks) == list(plain.landmarks) and ours.bias == pytest.approx(plain.bias)
-    assert np.allclose(ours.table, plain.table, atol=1e-5) and np.allclose(ours.weights, plain.weights)
-    where = lambda texts, labels: toxicity.Machine(np.zeros(toxicity.TABLE, np.float32), float(os.getpid()), np.zeros(6))
-    monkeypatch.setattr(toxicity, "train", where)
-    assert toxicity.fit(docs, labels).bias != os.getpid()
+def test_training_holds_its_examples_once():
+    """Beside the examples a step holds one weighted copy of them."""
+    x = np.hstack([np.random.default_rng(1).normal(size=(20_000, 64)), np.ones((20_000, 1))])
+    y = np.where(x[:, 0] > 0, 1, -1)
+    tracemalloc.start()
+    try:
+        solved = toxicity._newton(x, y, np.ones(len(y)), True, 0.1)
+        assert tracemalloc.get_traced_memory()[1] < 1.5 * x.nbytes
+    finally:
+        tracemalloc.stop()
+    assert len(solved) == x.shape[1] and ((x @ solved > 0) == (y > 0)).mean() > 0.95
 
 
 def labelled_texts():

@@ -48,6 +48,39 @@ def test_wide_portal_rows_meet_their_narrow_survivors(spark):
         spark.conf.set(THRESHOLD, before)
 
 
+def test_survivors_do_not_move_between_their_ranking_and_the_wide_rows(spark):
+    """Narrow rows are shuffled by their key once, looked-up values come to them, and together they move once more."""
+    portal = local_frame(spark, [(f"v{i}", None, f"A{i % 4}", f"O{i}", None, None, None, None, False, "x") for i in range(40)], PORTAL)
+    accounts = local_frame(spark, [("A1", "one"), ("A2", "two")], "account_id string, account_name string")
+    names = [Lookup(accounts, fk, "account_id", {"account_name": f"name_{fk}"}) for fk in ("partner_account_id", "opportunity_id")]
+    before = spark.conf.get(THRESHOLD)
+    spark.conf.set(THRESHOLD, "-1")
+    try:
+        ours = registrations.enriched_survivors(portal, names, ["comments"], False)
+        assert ours.count() == 40 and ours.where("name_partner_account_id = 'one'").count() == 10
+        ours = registrations.enriched_survivors(portal, names, ["comments"], False)
+        ours.collect()
+        plan = plan_of(ours).split("== Initial Plan ==")[0]
+        moved = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+        # The ranking's, two of one lookup (references, side), the values found, the survivors' and the wide rows'.
+        assert len(moved) == 6 and plan.count("ReusedExchange") == 1
+    finally:
+        spark.conf.set(THRESHOLD, before)
+
+
+def test_unique_row_keys_give_the_rows_of_joins(spark):
+    facts = local_frame(spark, [(f"k{i}", None if i % 5 == 0 else f"a{i % 3}", f"a{i % 7}") for i in range(30)], "k string, x string, y string")
+    side = local_frame(spark, [("a1", "one"), ("a1", "uno"), ("a2", "two"), (None, "none")], "id string, name string")
+    steps = [Lookup(side, fk, "id", {"name": f"name_{fk}"}) for fk in ("x", "y")]
+    before = spark.conf.get(THRESHOLD)
+    spark.conf.set(THRESHOLD, "-1")
+    try:
+        found = enrich(facts, steps, ["k"], unique=True)
+        assert Counter(found.collect()) == Counter(enrich(facts, steps).collect())
+    finally:
+        spark.conf.set(THRESHOLD, before)
+
+
 def test_larger_tables_are_widened_in_more_tasks(spark, monkeypatch):
     table = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
     monkeypatch.setattr(derived, "SPREAD_FROM", 0)

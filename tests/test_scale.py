@@ -6,7 +6,8 @@ from conftest import SF_DIR, local_frame
 
 from revmart.operators.hierarchy import manager_chain
 from revmart.operators.lookups import Lookup, enrich, estimated_bytes
-from revmart.plans import registrations
+from revmart.plans import opportunities, registrations
+from revmart.plans.queries import CFG, Frames
 from revmart.sources import derived
 
 THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
@@ -81,6 +82,28 @@ def test_unique_row_keys_give_the_rows_of_joins(spark):
         spark.conf.set(THRESHOLD, before)
 
 
+def test_wide_opportunities_move_once_and_unsorted(spark):
+    """Rollups are found for narrow rows, too: ids that are NULL or come twice keep their own references."""
+    frames = Frames(spark, SF_DIR)
+    inputs = [frames[n] for n in ("opportunity_field_history", "dim_task", "dim_vc_value_proposition", "dim_address", "dim_account", "recordtype", "int_people")]
+    few = frames["opportunity"].where("is_current").limit(60)
+    blank = few.limit(5).drop("opportunity_id").selectExpr("CAST(NULL AS STRING) AS opportunity_id", "*")
+    odd = few.unionByName(few.limit(20)).unionByName(blank).localCheckpoint()
+    keys = ["opportunity_id", "opportunity_owner_name", *opportunities.HISTORY_COLUMNS, *opportunities.COVERAGE_COLUMNS]
+    before = spark.conf.get(THRESHOLD)
+    try:
+        spark.conf.set(THRESHOLD, "1g")
+        expected = opportunities.build_dim_opportunity(odd, *inputs, CFG).select(keys).collect()
+        spark.conf.set(THRESHOLD, "-1")
+        ours = opportunities.build_dim_opportunity(odd, *inputs, CFG)
+        plan = plan_of(ours)
+        wide = [x for x in plan.split("\n") if "SortMergeJoin" in x and "opportunity_id" in x]
+        assert "ShuffledHashJoin" in plan and not wide
+        assert len(expected) == odd.count() and Counter(ours.select(keys).collect()) == Counter(expected)
+    finally:
+        spark.conf.set(THRESHOLD, before)
+
+
 def test_larger_tables_are_widened_in_more_tasks(spark, monkeypatch):
     table = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
     monkeypatch.setattr(derived, "SPREAD_FROM", 0)

@@ -69,14 +69,15 @@ def test_survivors_do_not_move_between_their_ranking_and_the_wide_rows(spark):
         spark.conf.set(THRESHOLD, before)
 
 
-def test_unique_row_keys_give_the_rows_of_joins(spark):
+def test_values_found_in_place_give_the_rows_of_joins(spark):
     facts = local_frame(spark, [(f"k{i}", None if i % 5 == 0 else f"a{i % 3}", f"a{i % 7}") for i in range(30)], "k string, x string, y string")
+    facts = facts.unionByName(facts.limit(3)).unionByName(facts.limit(4).selectExpr("k", "y AS x", "x AS y"))  # keys that come twice
     side = local_frame(spark, [("a1", "one"), ("a1", "uno"), ("a2", "two"), (None, "none")], "id string, name string")
     steps = [Lookup(side, fk, "id", {"name": f"name_{fk}"}) for fk in ("x", "y")]
     before = spark.conf.get(THRESHOLD)
     spark.conf.set(THRESHOLD, "-1")
     try:
-        found = enrich(facts, steps, ["k"], unique=True)
+        found = enrich(facts, steps, ["k"], in_place=True)
         assert Counter(found.collect()) == Counter(enrich(facts, steps).collect())
     finally:
         spark.conf.set(THRESHOLD, before)

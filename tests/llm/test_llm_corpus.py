@@ -1,6 +1,7 @@
 """Search, language model, mixing, shards and the pipeline."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,6 +16,7 @@ from llm_cases import smallest_reachable
 
 import corpus_pipeline
 from revmart.llm import maxent, mixing, pii, search, sharding, toxicity
+from revmart.llm.common import BATCHES
 from revmart.llm.queries import BYTE_BPE, KEY, QUERIES, SQL
 
 
@@ -52,6 +54,33 @@ def test_search_in_nothing(spark):
     assert search.search(empty(spark), queries).count() == 0
 
 
+def test_search_bounds_what_a_task_holds(spark, monkeypatch):
+    """A shard's index grows out of small batches and takes a bounded number of bytes a posting while it is built."""
+    before = {name: spark.conf.get(name, None) for name in BATCHES}
+    try:
+        for name in BATCHES:
+            spark.conf.unset(name)
+        search.search(awkward(spark), local_frame(spark, [(1, "the")], "query_id long, text string"))
+        assert {name: spark.conf.get(name) for name in BATCHES} == BATCHES
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
+    rng = np.random.default_rng(2)
+    texts = [" ".join(map(str, rng.integers(0, 60_000, 250))) for _ in range(2000)]
+    parts = [search._term_counts(texts[a : a + 500]) for a in range(0, len(texts), 500)]
+    tracemalloc.start()
+    try:
+        index = search.Shard(list(range(len(texts))), parts, 250.0)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert not parts and most < 56 * len(index.post_doc)
+    monkeypatch.setattr(search, "STEP_BYTES", 1 << 12)
+    whole = search.Shard(index.ids, [search._term_counts(texts)], 250.0)
+    for name in ("terms", "begin", "doc_begin", "doc_term", "doc_impact", "post_doc", "post_impact", "block_of", "block_max", "block_begin"):
+        assert np.array_equal(getattr(index, name), getattr(whole, name))
+
+
 def held(i):
     return zlib.crc32(str(i).encode()) % 7 == 2
 

@@ -116,6 +116,30 @@ def test_model_is_a_distribution_and_beats_the_base(spark):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + 0.1 * sum(r["n_tokens"] for r in rows)
 
 
+def test_model_sorts_words_once_and_weighs_their_letters_only():
+    """One sort numbers the words of a block, which gives their classes too; letters are weighed for bytes of words, not for gaps."""
+
+    class Letters:
+        def __init__(self, table):
+            self.table, self.rows = table, 0
+
+        def __getitem__(self, at):
+            self.rows += len(at)
+            return self.table[at]
+
+    words = [b"the", b"of", b"and"]
+    lexicon = maxent._lexicon(words, np.array([9.0, 8.0, 7.0]), np.array([0, 1, 2]))
+    lexicon.letters = letters = Letters(lexicon.letters)
+    texts = ["the cat  of THE cats", "", "cat and and \u00e9t\u00e9 cat", "   "]
+    found = maxent.tokens(texts, lexicon)
+    assert letters.rows == sum(len(w.encode()) for w in {"cat", "cats", "\u00e9t\u00e9"})
+    every = [w for t in texts for w in t.lower().split()]
+    codes, which = maxent._numbered([found.codes[:4], found.codes[4:]])
+    assert np.array_equal(codes[which], found.codes) and len(codes) == len(set(every))
+    classes = maxent._class_of([found.classes[:4], found.classes[4:]], which, len(codes))
+    assert np.array_equal(classes[which], found.classes)
+
+
 def test_model_without_rows(spark):
     assert maxent.score_documents(empty(spark), toxicity.is_held_out(folds=7, fold=2)).count() == 0
 

@@ -140,6 +140,52 @@ def test_model_sorts_words_once_and_weighs_their_letters_only():
     assert np.array_equal(classes[which], found.classes)
 
 
+def test_model_reads_the_words_before(spark):
+    """Of two equally frequent words one is often said twice: texts of the same classes are scored apart by the words in them."""
+    common = [f"w{i:02d}" for i in range(80)]  # more frequent, so that the others are no classes of their own
+    rows = []
+    for i in range(400):
+        some = [common[(i * 7 + j * 13) % 80] for j in range(160)]
+        rare = [["alpha", "alpha"], ["mid"]] if i % 2 else [["gamma"], ["gamma"]]
+        rows.append((i * 2, " ".join([*some[:50], *rare[0], *some[50:100], *rare[1], *some[100:]])))
+    asked = [t for t in range(1, 400, 2) if held(t)][:2]
+    rows += [(asked[0], "alpha alpha"), (asked[1], "gamma gamma")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in maxent.score_documents(frame, toxicity.is_held_out(folds=7, fold=2)).collect()}
+    assert got[asked[0]] > got[asked[1]] + 0.1
+
+
+def test_weights_of_words_against_a_plain_version():
+    """Sums, weights and gains of the table of words equal those of one token after another."""
+    words = [b"the", b"of", b"and", b"a"]
+    lexicon = maxent._lexicon(words, np.array([9.0, 8.0, 7.0, 6.0]), np.array([0, 1, 2, 1]))
+    t = maxent.tokens(["the cat of the the dog and", "", "a dog of a cat", "the"], lexicon)
+    rng = np.random.default_rng(3)
+    class_log = (maxent.log_softmax(rng.normal(size=(maxent.WEIGHT_ROWS, maxent.CLASSES)), maxent.history_features()) / np.log(10)).astype(np.float32)
+    kinds, learned, n = maxent.kinds_of_classes(lexicon), np.array([True, True, False, True]), 64
+    expected = maxent.kinds_expected(class_log, kinds)
+    sums = np.zeros((2, maxent.KINDS, n))
+    maxent.add_word_counts(sums, t, learned, kinds, np.ascontiguousarray(expected.T))
+    history, own = maxent.histories(t)
+    rows = maxent.word_rows(t, n)
+    want, text = np.zeros_like(sums), np.repeat(np.arange(4), np.diff(t.begins) + 1)
+    for i in range(len(own)):
+        for r in rows[:, i] if learned[text[i]] else ():
+            want[0, kinds[own[i]], r] += 1
+            want[1, :, r] += expected[history[i]]
+    assert np.allclose(sums, want) and np.isclose(sums[0].sum(), sums[1].sum())
+    weights = maxent.word_weights(sums)
+    gains = maxent.word_gains(t, history, own, kinds, weights, expected.astype(np.float32))
+    for i in range(len(own)):
+        p = expected[history[i]] * np.exp(sum(weights[r].astype(float) for r in rows[:, i]))
+        assert np.isclose(gains[i], np.log10(p[kinds[own[i]]] / p.sum() / expected[history[i], kinds[own[i]]]), atol=1e-5)
+    # A text's first words have no words before them, whatever text comes before it.
+    alone = maxent.word_rows(maxent.tokens(["a dog of a cat"], lexicon), n)
+    assert np.array_equal(alone, rows[:, text == 2])
+    # One step never makes the training texts less likely.
+    assert gains[learned[text]].sum() > 0
+
+
 def test_model_without_rows(spark):
     assert maxent.score_documents(empty(spark), toxicity.is_held_out(folds=7, fold=2)).count() == 0
 

@@ -93,6 +93,21 @@ def test_role_lookups_move_the_wide_row_once(frames, no_broadcast, model, key):
     assert sum("Join LeftOuter" in x for x in plan) <= 2 and sum("_row_mark" in x and "LeftOuter" in x for x in plan) == 1
 
 
+def joined_widths(node):
+    """Columns of every frame that a join of the optimized plan reads."""
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    own = [c.output().size() for c in children] if node.nodeName() == "Join" else []
+    return own + [w for c in children for w in joined_widths(c)]
+
+
+@pytest.mark.parametrize("name", ["portal_staging", "portal_registration"])
+def test_folded_columns_do_not_move(spark, name):
+    """What a result shows as one digest is folded where the row is conformed: no join has the wide rows."""
+    df = entry.queries()[name](spark, SF_DIR)
+    widths = joined_widths(df._jdf.queryExecution().optimizedPlan())
+    assert widths and max(widths) < 30
+
+
 def test_columns_prune_the_joins_that_supply_others(frames):
     keys = {"dim_unified_deal_registration": {"registration_id", "opportunity_id"}, "dim_user": {"user_id"}, "dim_opportunity": {"opportunity_id"}}
     narrow = build_models(frames.inputs, CFG, only=list(keys), columns=keys)

@@ -2,13 +2,16 @@
 
 from collections import Counter
 
+import pytest
 from conftest import SF_DIR, local_frame
 
 from revmart.operators.hierarchy import manager_chain
 from revmart.operators.lookups import Lookup, enrich, estimated_bytes
 from revmart.plans import opportunities, registrations
+from revmart.plans.models import build_models
 from revmart.plans.queries import CFG, Frames
 from revmart.sources import derived
+from revmart.sources.catalog import TableStore
 
 THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
 PORTAL = (
@@ -69,6 +72,67 @@ def test_survivors_do_not_move_between_their_ranking_and_the_wide_rows(spark):
         spark.conf.set(THRESHOLD, before)
 
 
+def exchanged(node):
+    """Names of the columns of every shuffle of a plan that has not run yet."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        return exchanged(node.executedPlan())
+    own = [{node.output().apply(i).name() for i in range(node.output().size())}] if node.nodeName() == "Exchange" else []
+    return own + [x for i in range(node.children().size()) for x in exchanged(node.children().apply(i))]
+
+
+@pytest.mark.parametrize("kind", ["folder", "catalog"])
+def test_wide_portal_rows_put_aside_by_their_key_are_not_shuffled(spark, tmp_path, kind):
+    """A stored build writes them into buckets; same rows as without, also of ids that are NULL or come twice and of lookups that find two rows."""
+    rows = [
+        (f"v{i // 2}" if i % 5 else None, f"R{i % 7}" if i % 3 else " ", f"A{i % 4}" if i % 6 else None, f"O{i % 9}", None,
+         (None, True, False)[i % 3], i % 2 == 0, None, i % 11 == 0, f"text {i // 2}")
+        for i in range(120)
+    ]
+    portal = local_frame(spark, rows + rows[:40], PORTAL)
+    side = local_frame(spark, [("A1", "one"), ("A1", "uno"), ("A2", "two"), ("O3", "three")], "account_id string, account_name string")
+    names = [Lookup(side, fk, "account_id", {"account_name": f"name_{fk}"}) for fk in ("partner_account_id", "opportunity_id")]
+    store = TableStore(base_path=str(tmp_path / "out")) if kind == "folder" else TableStore(namespace="default")
+    before = spark.conf.get(THRESHOLD)
+    spark.conf.set(THRESHOLD, "-1")
+    try:
+        with store.staging() as stage:
+            keys = ["is_clone", "is_created_by_auto_reg"]
+            kept = registrations.staged_survivors(portal, names[1:], keys, False, stage).select(keys)
+            assert Counter(kept.collect()) == Counter(registrations.dedupe_portal(portal).select(*keys).collect())
+            unique = portal.dropDuplicates(["vartopia_registration_id"]).where("vartopia_registration_id IS NOT NULL").localCheckpoint()
+            found = registrations.staged_survivors(unique, names, portal.columns, False, stage)
+            moved = exchanged(found._jdf.queryExecution().executedPlan())
+            assert moved and not any("comments" in x for x in moved)
+            expected = enrich(registrations.dedupe_portal(unique), names).select(found.columns)
+            assert Counter(found.collect()) == Counter(expected.collect())
+        assert not list(tmp_path.glob("out/*")) and not [t for t in spark.catalog.listTables() if t.name.startswith("staged_")]
+        folded = exchanged(enrich(unique, names, ["vartopia_registration_id"])._jdf.queryExecution().executedPlan())
+        assert any("comments" in x for x in folded)
+    finally:
+        spark.conf.set(THRESHOLD, before)
+
+
+def test_stored_portal_registrations_are_put_aside(spark, tmp_path, monkeypatch):
+    """The stored mart's wide rows cross no shuffle but that of the test table they are derived from."""
+    wide, rebuild = {}, TableStore.rebuild
+
+    def watched(self, df, name, *args, **kwargs):
+        wide[name] = max([len(x) for x in exchanged(df._jdf.queryExecution().executedPlan())], default=0)
+        return rebuild(self, df, name, *args, **kwargs)
+
+    monkeypatch.setattr(TableStore, "rebuild", watched)
+    before = spark.conf.get(THRESHOLD)
+    try:
+        frames = Frames(spark, SF_DIR)
+        spark.conf.set(THRESHOLD, "-1")
+        name = "dim_vartopia_deal_registration"
+        built = build_models(frames.inputs, CFG, only=[name], store=TableStore(base_path=str(tmp_path / "out")))[name]
+        assert 0 < wide[name] < 20 < len(built.columns)
+        assert Counter(built.collect()) == Counter(frames[name].select(built.columns).collect())
+    finally:
+        spark.conf.set(THRESHOLD, before)
+
+
 def test_values_found_in_place_give_the_rows_of_joins(spark):
     facts = local_frame(spark, [(f"k{i}", None if i % 5 == 0 else f"a{i % 3}", f"a{i % 7}") for i in range(30)], "k string, x string, y string")
     facts = facts.unionByName(facts.limit(3)).unionByName(facts.limit(4).selectExpr("k", "y AS x", "x AS y"))  # keys that come twice

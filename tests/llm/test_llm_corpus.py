@@ -49,6 +49,33 @@ def test_search_against_all_scores(spark, monkeypatch, size):
     assert Counter(map(tuple, got)) == Counter(plain_search(rows, asked, 3))
 
 
+def test_search_in_rounds_gives_all_scores(spark, monkeypatch):
+    """Queries are copied for the shards of a round only; the best so far are the next round's threshold, and ties across rounds keep their order."""
+    rounds, found_in = [], search._found_in
+
+    def watched(placed, packed, floors, some, *args):
+        rounds.append((len(some), floors is not None))
+        return found_in(placed, packed, floors, some, *args)
+
+    monkeypatch.setattr(search, "_found_in", watched)
+    monkeypatch.setattr(search, "shards_of_a_round", lambda *args: 2)
+    monkeypatch.setattr(search, "SHARD_BYTES", 8000)
+    rows = [(r[0], r[1]) for r in awkward_rows()]
+    asked = [(1000, None), (1002, "the the ing unknown"), *[(i, t) for i, t in rows if i in (4, 6, 7, 12, 20)]]
+    queries = local_frame(spark, asked, "query_id long, text string")
+    got = search.search(awkward(spark), queries, k=3).select("query_id", "rank", "doc_id").collect()
+    assert Counter(map(tuple, got)) == Counter(plain_search(rows, asked, 3))
+    assert len(rounds) > 1 and [n for n, _ in rounds[:-1]] == [2] * (len(rounds) - 1)
+    assert [seen for _, seen in rounds] == [False] + [True] * (len(rounds) - 1)
+
+
+def test_copies_of_the_queries_are_bounded_by_the_documents():
+    for shards, blocks, docs, packed in ((28, 1, 1 << 30, 1 << 26), (320, 3, 10 << 30, 1 << 30), (1600, 12, 50 << 30, 5 << 30), (5, 1, 0, 0)):
+        least = -(-12 // blocks)
+        some = search.shards_of_a_round(shards, blocks, 12, docs, packed)
+        assert min(shards, least) <= some <= shards and packed * some <= max(docs, packed * least)
+
+
 def test_search_in_nothing(spark):
     queries = local_frame(spark, [(1, "the")], "query_id long, text string")
     assert search.search(empty(spark), queries).count() == 0

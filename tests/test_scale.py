@@ -6,7 +6,7 @@ import pytest
 from conftest import SF_DIR, local_frame
 
 from revmart.operators.hierarchy import manager_chain
-from revmart.operators.lookups import Lookup, enrich, estimated_bytes
+from revmart.operators.lookups import Lookup, enrich, estimated_bytes, fits_broadcast, row_bytes, stored_rows
 from revmart.plans import opportunities, registrations
 from revmart.plans.models import build_models
 from revmart.plans.queries import CFG, Frames
@@ -178,6 +178,30 @@ def test_larger_tables_are_widened_in_more_tasks(spark, monkeypatch):
     assert spread.count() == table.count()
 
 
+def test_sides_are_broadcast_by_their_rows_too(spark, tmp_path):
+    """Files of rows that compress well hold more than their bytes suggest; such a side is shuffled, and the rows stay the same."""
+    names = spark.range(200_000).selectExpr("CAST(id AS STRING) AS id", "'the same long name for every one of them' AS name")
+    names.sort("id").repartitionByRange(100, "id").write.parquet(str(tmp_path / "names"))
+    side = spark.read.parquet(str(tmp_path / "names"))
+    facts = local_frame(spark, [(f"k{i}", str(i * 7), str(i * 11)) for i in range(30)], "k string, x string, y string")
+    steps = [Lookup(side, fk, "id", {"name": f"name_{fk}"}) for fk in ("x", "y")]
+    before = spark.conf.get(THRESHOLD)
+    try:
+        spark.conf.set(THRESHOLD, str(4 * 3 * estimated_bytes(side, "id", "name")))
+        assert abs(stored_rows(side) - 200_000) < 20_000 and row_bytes(side) == 72
+        assert fits_broadcast(side.limit(5), ["id", "name"]) is False  # a limit does not tell how many rows there are
+        assert not fits_broadcast(side, ["id", "name"]) and fits_broadcast(local_frame(spark, [("a",)], "a string"))
+        plans = [plan_of(enrich(facts, some, ["k"])) for some in (steps[:1], steps)]
+        assert all("SortMergeJoin" in x for x in plans)
+        shuffled = enrich(facts, steps, ["k"]).collect()
+        spark.conf.set(THRESHOLD, "1g")
+        assert fits_broadcast(side, ["id", "name"]) and Counter(enrich(facts, steps, ["k"]).collect()) == Counter(shuffled)
+        spark.range(10).write.json(str(tmp_path / "other"))
+        assert stored_rows(spark.read.json(str(tmp_path / "other"))) is None
+    finally:
+        spark.conf.set(THRESHOLD, before)
+
+
 def test_users_broadcast_for_every_level_fit_together(spark):
     """Users that fit once, but not once per level, are not broadcast; ended chains and missing managers stay as they are."""
     people = [(f"u{i}", None if i % 10 == 0 else f"u{i // 2}", f"n{i}", f"t{i}") for i in range(1, 400) if i % 17]

@@ -6,10 +6,13 @@ import pytest
 from conftest import SF_DIR, local_frame
 
 from revmart.operators.hierarchy import manager_chain
+from revmart.operators.lineage import stored
 from revmart.operators.lookups import Lookup, enrich, estimated_bytes, fits_broadcast, row_bytes, stored_rows
 from revmart.plans import opportunities, registrations
-from revmart.plans.models import build_models
+from revmart.plans.checks import all_rules
+from revmart.plans.models import build_models, check_inputs
 from revmart.plans.queries import CFG, Frames
+from revmart.plans.registrations import UNIFIED_IDS
 from revmart.sources import derived
 from revmart.sources.catalog import TableStore
 
@@ -133,6 +136,27 @@ def test_stored_portal_registrations_are_put_aside(spark, tmp_path, monkeypatch)
         spark.conf.set(THRESHOLD, before)
 
 
+def test_checks_put_the_portal_rows_aside(spark, tmp_path):
+    """A report that keeps the portal mart ranks and meets its rows where they lie; the same report, and nothing is left behind."""
+    frames, rules = Frames(spark, SF_DIR), [r for r in all_rules(CFG) if r.model in UNIFIED_IDS or r.model == "dim_unified_deal_registration"]
+    moved = []
+
+    def keep(df):
+        moved.append((len(df.columns), exchanged(df._jdf.queryExecution().executedPlan())))
+        return stored(df)
+
+    before = spark.conf.get(THRESHOLD)
+    try:
+        spark.conf.set(THRESHOLD, "-1")
+        report = check_inputs(frames.inputs, CFG, rules, keep=keep, scratch=TableStore(base_path=str(tmp_path / "aside")))
+        assert not list(tmp_path.glob("aside/*")) and max(n for n, _ in moved) > 8
+        portal = [x for n, found in moved for x in found if "_mark" in x or "_first_key" in x]
+        assert portal and not any("vartopia_registration_id" in x for x in portal)
+        assert Counter(report.collect()) == Counter(check_inputs(frames.inputs, CFG, rules, keep=stored).collect())
+    finally:
+        spark.conf.set(THRESHOLD, before)
+
+
 def test_values_found_in_place_give_the_rows_of_joins(spark):
     facts = local_frame(spark, [(f"k{i}", None if i % 5 == 0 else f"a{i % 3}", f"a{i % 7}") for i in range(30)], "k string, x string, y string")
     facts = facts.unionByName(facts.limit(3)).unionByName(facts.limit(4).selectExpr("k", "y AS x", "x AS y"))  # keys that come twice
